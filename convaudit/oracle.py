@@ -96,7 +96,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                      unnest(from_json(chat_records, '["JSON"]')) AS e,
                      generate_subscripts(from_json(chat_records, '["JSON"]'), 1) - 1 AS pos
               FROM chat_json
-              WHERE json_valid(chat_records) AND json_type(chat_records) = 'ARRAY')"""),
+              WHERE CASE WHEN json_valid(chat_records) THEN json_type(chat_records) = 'ARRAY' ELSE false END)"""),
     "chat_spoken": (["chat_msgs"], """
         SELECT *, CASE WHEN user_key IS NOT DISTINCT FROM user_id THEN 'user'
                        WHEN user_key IS NOT DISTINCT FROM agent_id THEN 'agent' END AS speaker
@@ -164,6 +164,45 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                    lambda x: x.text IS NOT NULL AND x.text <> '' AND x.keyword IS NOT NULL)[1] AS h
               FROM calls_k)
         WHERE h IS NOT NULL"""),
+    "chat_best": (["chat_scored"], f"""
+        SELECT create_time, session_id, speaker, score AS best_score, pos AS best_pos, digest AS best_text FROM (
+            SELECT *, row_number() OVER (PARTITION BY create_time, session_id, speaker ORDER BY score DESC, pos) AS rn
+            FROM chat_scored WHERE score > {fx.TEST_THRESHOLD} AND score > 0)
+        WHERE rn = 1"""),
+    "chat_pair": (["chat_best"], """
+        SELECT s.create_time, s.session_id, u.best_score AS us, u.best_text AS ut, a.best_score AS ks, a.best_text AS kt
+        FROM (SELECT DISTINCT create_time, session_id FROM chat_best) s
+        LEFT JOIN chat_best u ON u.session_id = s.session_id AND u.create_time = s.create_time AND u.speaker = 'user'
+        LEFT JOIN chat_best a ON a.session_id = s.session_id AND a.create_time = s.create_time
+                              AND a.speaker = 'agent'"""),
+    "chat_result": (["chat_pair"], f"""
+        SELECT strftime(create_time, '%Y-%m-%d') AS v_date, strftime(create_time, '%Y-%m-%d %H:%M:%S') AS event_time,
+               CAST(1 AS INTEGER) AS source, session_id AS record_id, text AS problem_text, score
+        FROM (SELECT *, CASE WHEN coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL THEN coalesce(us, 0.0)
+                             WHEN coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL THEN coalesce(ks, 0.0)
+                        END AS score,
+                        CASE WHEN coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL THEN ut
+                             WHEN coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL THEN kt END AS text
+              FROM chat_pair)
+        WHERE score IS NOT NULL AND score >= {fx.TEST_THRESHOLD}"""),
+    "speech_best": (["speech_scored"], f"""
+        SELECT v_date, task_no, score AS best_score, pos AS best_pos, array_to_string(words, ' ') AS best_text FROM (
+            SELECT *, row_number() OVER (PARTITION BY v_date, task_no ORDER BY score DESC, pos) AS rn
+            FROM speech_scored WHERE score >= {fx.TEST_THRESHOLD} AND score > 0)
+        WHERE rn = 1"""),
+    "speech_result": (["speech_best"], f"""
+        SELECT strftime(v_date, '%Y-%m-%d') AS v_date, strftime(v_date, '%Y-%m-%d') AS event_time,
+               CAST(2 AS INTEGER) AS source, task_no AS record_id, best_text AS problem_text, best_score AS score
+        FROM speech_best WHERE best_score >= {fx.TEST_THRESHOLD}"""),
+    "audit_rows": (["chat_result", "speech_result"], """
+        SELECT * FROM chat_result UNION ALL SELECT * FROM speech_result"""),
+    "integrated": (["audit_rows", "calls"], """
+        SELECT r.*, d.order_no, d.call_source
+        FROM audit_rows r LEFT JOIN (
+            SELECT strftime(v_date, '%Y-%m-%d') AS v_date, task_no AS record_id,
+                   arg_max(order_no, (order_no, source)) AS order_no, arg_max(source, (order_no, source)) AS call_source
+            FROM calls GROUP BY 1, 2) d
+        ON r.v_date = d.v_date AND r.record_id = d.record_id"""),
 }
 
 

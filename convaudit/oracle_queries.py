@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from convaudit.oracle import FILTER_SQL, TERMS_SQL, WORD_RE
 from convaudit.oracle import with_views as W
+from convaudit.sources import fixtures as fx
+
+T = fx.TEST_THRESHOLD
 
 SQL: dict[str, str] = {}
 
@@ -48,3 +52,129 @@ SQL["flow_check"] = W("SELECT * FROM flow_res", "flow_res")
 SQL["flow_summary"] = W("""
 SELECT f.*, o.question_type, o.n_tickets, o.n_passing, o.max_caller_num
 FROM flow_res f LEFT JOIN orders_i o ON f.order_no = o.order_no""", "flow_res", "orders_i")
+
+# ---------------------------------------------------------------- sources
+SQL["lexicon_lines"] = r"""
+SELECT item_id, CAST(i - 1 AS INTEGER) AS line_no, entry, CAST(length(entry) AS INTEGER) AS n_chars
+FROM (SELECT item_id, unnest(l) AS entry, generate_subscripts(l, 1) AS i
+      FROM (SELECT item_id, CASE WHEN regexp_matches(text, '(\r|\n)$') THEN parts[1:len(parts) - 1]
+                                 ELSE parts END AS l
+            FROM (SELECT item_id, text, string_split_regex(text, '\r\n|\r|\n') AS parts FROM benchmark)))"""
+
+SQL["chat_day_scan"] = f"""
+SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM events
+WHERE ts >= CAST('{fx.EVENT_DAY}' AS TIMESTAMP) AND ts < CAST('{fx.EVENT_DAY}' AS TIMESTAMP) + INTERVAL 1 DAY"""
+
+SQL["speech_day_scan"] = f"""
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS v_date FROM orders
+WHERE o_orderdate >= CAST('{fx.ORDER_DAY}' AS TIMESTAMP)
+  AND o_orderdate < CAST('{fx.ORDER_DAY}' AS TIMESTAMP) + INTERVAL 1 DAY"""
+
+# ---------------------------------------------------------------- parsing
+SQL["chat_explode"] = W("SELECT session_id, pos, n_keys, user_key, digest FROM chat_msgs", "chat_msgs")
+SQL["chat_arity_guard"] = W("SELECT session_id, pos, user_key FROM chat_msgs WHERE n_keys = 8", "chat_msgs")
+SQL["speaker_split"] = W("SELECT session_id, pos, speaker FROM chat_spoken WHERE speaker IS NOT NULL",
+                         "chat_spoken")
+SQL["canned_anti"] = W("SELECT session_id, pos, speaker FROM chat_sent", "chat_sent")
+SQL["speech_explode"] = W("SELECT task_no, pos, text, CAST(len(words) AS INTEGER) AS n_words FROM speech_sent",
+                          "speech_sent")
+SQL["speech_min_words"] = W("""
+SELECT task_no, pos, CAST(len(words) AS INTEGER) AS n_words FROM speech_sent WHERE len(words) >= 5""", "speech_sent")
+
+SQL["json_quarantine"] = W("""
+SELECT 'chat' AS kind, session_id AS record_id,
+       CASE WHEN json_valid(chat_records) THEN 'bad_shape' ELSE 'bad_json' END AS reason
+FROM chat_json
+WHERE chat_records IS NOT NULL AND NOT (CASE WHEN json_valid(chat_records) THEN json_type(chat_records) = 'ARRAY' ELSE false END)
+UNION ALL
+SELECT 'speech', task_no, CASE WHEN json_valid(result) THEN 'bad_shape' ELSE 'bad_json' END
+FROM speech_json
+WHERE result IS NOT NULL
+  AND (CASE WHEN json_valid(result) THEN json_extract(result, '$.sentenceListData') IS NULL ELSE true END)
+UNION ALL
+SELECT 'call', task_no, CASE WHEN json_valid(result) THEN 'bad_shape' ELSE 'bad_json' END
+FROM call_texts WHERE texts IS NULL AND source IN (1, 2) AND result IS NOT NULL""",
+                           "chat_json", "speech_json", "call_texts")
+
+SQL["flow_sentences"] = W("""
+SELECT task_no, source, CAST(i - 1 AS INTEGER) AS pos, text
+FROM (SELECT task_no, source, unnest(texts) AS text, generate_subscripts(texts, 1) AS i FROM call_texts)
+WHERE text IS NOT NULL AND text <> ''""", "call_texts")
+
+# ---------------------------------------------------------------- text
+SQL["tokenize_corpus"] = f"""
+SELECT doc_id, CAST(len(regexp_extract_all(lower(text), {WORD_RE})) AS INTEGER) AS n_tokens FROM documents"""
+
+SQL["token_clean"] = f"""
+SELECT conv_id, turn, CAST(len(raw) AS INTEGER) AS n_raw, CAST(len(clean) AS INTEGER) AS n_clean
+FROM (SELECT conv_id, turn, raw, list_filter(raw, lambda t: translate(t, {FILTER_SQL}, '') <> '') AS clean
+      FROM (SELECT conv_id, turn,
+                   list_filter(string_split_regex(coalesce(text, ''), '\\s+'), lambda t: t <> '') AS raw
+            FROM conversations))
+WHERE len(clean) > 0"""
+
+SQL["vocab_counts"] = f"""
+SELECT token, count(*) AS n
+FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD_RE})) AS token FROM documents) GROUP BY token"""
+
+SQL["sensitive_token"] = W(f"SELECT session_id, pos FROM chat_sent WHERE list_has_any(tokens, {TERMS_SQL})",
+                           "chat_sent")
+SQL["sensitive_substring"] = W("""
+SELECT session_id, pos FROM chat_sent
+WHERE EXISTS (SELECT 1 FROM terms WHERE contains(array_to_string(tokens, ''), term))""", "chat_sent", "terms")
+SQL["lexicon_semi"] = W("""
+SELECT DISTINCT s.session_id, s.pos FROM chat_sent s, unnest(s.tokens) AS u(tok)
+WHERE u.tok IN (SELECT term FROM terms)""", "chat_sent", "terms")
+
+SQL["threshold_modes"] = W(f"""
+SELECT CAST(sum(CAST(score > {T} AS INTEGER)) AS BIGINT) AS n_gt,
+       CAST(sum(CAST(score >= {T} AS INTEGER)) AS BIGINT) AS n_ge,
+       CAST(sum(CAST(score < {T} AS INTEGER)) AS BIGINT) AS n_lt,
+       CAST(sum(CAST(score <= {T} AS INTEGER)) AS BIGINT) AS n_le
+FROM chat_scored""", "chat_scored")
+
+# ---------------------------------------------------------------- selection
+_ARGMAX = "SELECT session_id, speaker, best_score, best_pos, best_text FROM chat_best"
+SQL["chat_argmax"] = W(_ARGMAX, "chat_best")
+SQL["chat_argmax_window"] = W(_ARGMAX, "chat_best")
+SQL["chat_select_intended"] = W("""
+SELECT session_id, speaker, score, text FROM (
+  SELECT session_id,
+         CASE WHEN coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL THEN 'user'
+              WHEN coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL THEN 'agent' END AS speaker,
+         CASE WHEN coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL THEN coalesce(us, 0.0)
+              WHEN coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL THEN coalesce(ks, 0.0) END AS score,
+         CASE WHEN coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL THEN ut
+              WHEN coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL THEN kt END AS text
+  FROM chat_pair) WHERE speaker IS NOT NULL""", "chat_pair")
+SQL["chat_select_faithful"] = W("""
+SELECT session_id, 'user' AS speaker, coalesce(us, 0.0) AS score, coalesce(ut, '') AS text
+FROM chat_pair
+WHERE (coalesce(us, 0.0) > coalesce(ks, 0.0) AND ut IS NOT NULL)
+   OR (coalesce(us, 0.0) <= coalesce(ks, 0.0) AND kt IS NOT NULL)""", "chat_pair")
+SQL["speech_argmax"] = W("SELECT task_no, best_score, best_pos, best_text FROM speech_best", "speech_best")
+
+SQL["emotion_blend"] = W(f"""
+SELECT task_no, pos,
+       0.8 * (CAST(len(list_filter(words, lambda t: list_contains({TERMS_SQL}, t))) AS DOUBLE)
+              / CAST(len(words) AS DOUBLE)) + 0.2 * score_qingxu AS score
+FROM speech_sent WHERE len(words) > 0""", "speech_sent")
+
+
+def _ratio(terms: list[str]) -> str:
+    arr = "[" + ", ".join("'" + t + "'" for t in terms) + "]"
+    return (f"CAST(len(list_filter(tokens, lambda t: list_contains({arr}, t))) AS DOUBLE)"
+            f" / CAST(len(tokens) AS DOUBLE)")
+
+
+SQL["ensemble_mean"] = W(f"""
+SELECT session_id, pos,
+       ({_ratio(fx.TERMS)} + {_ratio(fx.TERMS[:4])} + {_ratio(fx.TERMS[4:])}) / 3.0 AS p_neg
+FROM chat_sent WHERE len(tokens) > 0""", "chat_sent")
+
+# ---------------------------------------------------------------- audits
+SQL["chat_audit"] = W("SELECT * FROM chat_result", "chat_result")
+SQL["speech_audit"] = W("SELECT * FROM speech_result", "speech_result")
+SQL["audit_union"] = W("SELECT * FROM audit_rows", "audit_rows")
+SQL["integrate_results"] = W("SELECT * FROM integrated", "integrated")
+SQL["daily_audit"] = W("SELECT * FROM integrated", "integrated")

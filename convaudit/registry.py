@@ -12,10 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convaudit.config import FlowConfig
-from convaudit.operators import flow
+from convaudit.config import AuditConfig, FlowConfig
+from convaudit.functions.lexicon import sensitive
+from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
+from convaudit.operators import flow, parse
+from convaudit.operators import lexicon as lexops
+from convaudit.operators.score import RatioScorer, blend, mean_of
+from convaudit.operators.select import argmax, argmax_window, choose, speaker_bests
+from convaudit.plans import audit
+from convaudit.plans import audit as audit_plan
 from convaudit.plans import flowcheck as flowplan
 from convaudit.sources import fixtures as fx
+from convaudit.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +103,243 @@ def flow_check(spark, sf):
 @query
 def flow_summary(spark, sf):
     return _flow(spark, sf).summary
+
+
+# ---------------------------------------------------------------- sources
+
+@query
+def lexicon_lines(spark, sf):
+    """Each benchmark text read as a word-list file: its lines as entries."""
+    b = fx.table(spark, sf, "benchmark")
+    e = b.select("item_id", F.posexplode(lexops.lines_of("text")).alias("line_no", "entry"))
+    return e.select("item_id", F.col("line_no").cast("int").alias("line_no"), "entry",
+                    F.length("entry").cast("int").alias("n_chars"))
+
+
+@query
+def chat_day_scan(spark, sf):
+    """Events of one day; the half-open range on ``ts`` reaches the parquet scan."""
+    e = tables.day_scan(fx.table(spark, sf, "events"), "ts", fx.EVENT_DAY)
+    return e.select("event_id", "user_id", "event_type",
+                    F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+
+
+@query
+def speech_day_scan(spark, sf):
+    """Orders of one order date (the speech table's date partition), date as text."""
+    o = tables.day_scan(fx.table(spark, sf, "orders"), "o_orderdate", fx.ORDER_DAY)
+    return o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("v_date"))
+
+
+# ---------------------------------------------------------------- parsing
+
+def _chat(spark, sf):
+    return fx.chat_json(spark, sf)
+
+
+@query
+def chat_explode(spark, sf):
+    m = parse.chat_messages(_chat(spark, sf))
+    return m.select("session_id", "pos", "n_keys", "user_key", "digest")
+
+
+@query
+def chat_arity_guard(spark, sf):
+    m = parse.keep_arity(parse.chat_messages(_chat(spark, sf)))
+    return m.select("session_id", "pos", "user_key")
+
+
+@query
+def speaker_split(spark, sf):
+    m = parse.split_speakers(parse.keep_arity(parse.chat_messages(_chat(spark, sf))))
+    return m.select("session_id", "pos", "speaker")
+
+
+@query
+def canned_anti(spark, sf):
+    m = parse.chat_sentences(_chat(spark, sf), fx.canned(spark, sf))
+    return m.select("session_id", "pos", "speaker")
+
+
+@query
+def speech_explode(spark, sf):
+    s = parse.speech_sentences(fx.speech_json(spark, sf))
+    return s.select("task_no", "pos", "text", F.size("words").cast("int").alias("n_words"))
+
+
+@query
+def speech_min_words(spark, sf):
+    s = parse.keep_min_words(parse.speech_sentences(fx.speech_json(spark, sf)))
+    return s.select("task_no", "pos", F.size("words").cast("int").alias("n_words"))
+
+
+@query
+def json_quarantine(spark, sf):
+    return parse.quarantine(_chat(spark, sf), fx.speech_json(spark, sf), fx.calls(spark, sf))
+
+
+@query
+def flow_sentences(spark, sf):
+    s = parse.flow_sentences(fx.calls(spark, sf))
+    return s.select("task_no", "source", "pos", "text")
+
+
+# ---------------------------------------------------------------- text
+
+@query
+def tokenize_corpus(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select("doc_id", F.size(tokenize("text")).cast("int").alias("n_tokens"))
+
+
+@query
+def token_clean(spark, sf):
+    """Whitespace tokens of every turn, cleaned; turns with nothing left are skipped."""
+    c = fx.table(spark, sf, "conversations").select(
+        "conv_id", "turn", split_ws(F.coalesce(F.col("text"), F.lit(""))).alias("raw"))
+    c = c.withColumn("clean", clean_tokens("raw"))
+    return c.where(F.size("clean") > 0).select(
+        "conv_id", "turn", F.size("raw").cast("int").alias("n_raw"), F.size("clean").cast("int").alias("n_clean"))
+
+
+@query
+def vocab_counts(spark, sf):
+    d = fx.table(spark, sf, "documents")
+    return d.select(F.explode(tokenize("text")).alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _chat_tokens(spark, sf):
+    m = parse.chat_sentences(_chat(spark, sf), fx.canned(spark, sf))
+    return m.withColumn("tokens", clean_tokens(tokenize("digest")))
+
+
+@query
+def sensitive_token(spark, sf):
+    m = _chat_tokens(spark, sf).where(sensitive(F.col("tokens"), fx.TERMS, "token"))
+    return m.select("session_id", "pos")
+
+
+@query
+def sensitive_substring(spark, sf):
+    m = _chat_tokens(spark, sf).where(sensitive(F.col("tokens"), fx.TERMS, "substring"))
+    return m.select("session_id", "pos")
+
+
+@query
+def lexicon_semi(spark, sf):
+    """The token test as a join against the lexicon table."""
+    return lexops.token_hits(_chat_tokens(spark, sf), fx.terms_df(spark), ["session_id", "pos"])
+
+
+def _cfg(**kw):
+    base = dict(chat_threshold=fx.TEST_THRESHOLD, speech_threshold=fx.TEST_THRESHOLD)
+    base.update(kw)
+    return AuditConfig(**base)
+
+
+@query
+def threshold_modes(spark, sf):
+    """How many candidate sentences pass the test threshold under each comparison."""
+    s = RatioScorer(tuple(fx.TERMS))(audit.chat_candidates(_chat(spark, sf), fx.TERMS, _cfg(),
+                                                            fx.canned(spark, sf)))
+    t = fx.TEST_THRESHOLD
+    return s.agg(*[F.sum(compare(F.col("score"), op, t).cast("int")).cast("long").alias(name)
+                   for op, name in [(">", "n_gt"), (">=", "n_ge"), ("<", "n_lt"), ("<=", "n_le")]])
+
+
+# ---------------------------------------------------------------- selection
+
+def _chat_scored(spark, sf, **kw):
+    return audit.chat_scored(_chat(spark, sf), fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(**kw),
+                             fx.canned(spark, sf)).withColumnRenamed("digest", "text")
+
+
+@query
+def chat_argmax(spark, sf):
+    return argmax(_chat_scored(spark, sf), ["session_id", "speaker"])
+
+
+@query
+def chat_argmax_window(spark, sf):
+    return argmax_window(_chat_scored(spark, sf), ["session_id", "speaker"])
+
+
+def _select(spark, sf, mode):
+    b = speaker_bests(_chat_scored(spark, sf), ["session_id"])
+    c = b.select("session_id", choose(F.col("u"), F.col("a"), mode).alias("c")).where(F.col("c").isNotNull())
+    return c.select("session_id", F.col("c.speaker").alias("speaker"), F.col("c.score").alias("score"),
+                    F.col("c.text").alias("text"))
+
+
+@query
+def chat_select_faithful(spark, sf):
+    return _select(spark, sf, "faithful")
+
+
+@query
+def chat_select_intended(spark, sf):
+    return _select(spark, sf, "intended")
+
+
+@query
+def speech_argmax(spark, sf):
+    s = audit.speech_scored(fx.speech_json(spark, sf), fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg())
+    s = s.withColumn("text", F.concat_ws(" ", "words"))
+    return argmax(s, ["task_no"])
+
+
+@query
+def emotion_blend(spark, sf):
+    s = parse.speech_sentences(fx.speech_json(spark, sf)).where(F.size("words") > 0)
+    s = RatioScorer(tuple(fx.TERMS), tokens="words")(s)
+    return s.select("task_no", "pos", blend(F.col("score"), F.col("score_qingxu")).alias("score"))
+
+
+@query
+def ensemble_mean(spark, sf):
+    """Mean of three stand-in model scores per spoken chat sentence (A10)."""
+    m = _chat_tokens(spark, sf).where(F.size("tokens") > 0)
+    parts = [ratio_score("tokens", fx.TERMS), ratio_score("tokens", fx.TERMS[:4]),
+             ratio_score("tokens", fx.TERMS[4:])]
+    return m.select("session_id", "pos", mean_of(parts).alias("p_neg"))
+
+
+# ---------------------------------------------------------------- audits
+
+def _chat_audit(spark, sf, **kw):
+    return audit.chat_audit(_chat(spark, sf), fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(**kw),
+                            fx.canned(spark, sf))
+
+
+def _speech_audit(spark, sf, **kw):
+    return audit.speech_audit(fx.speech_json(spark, sf), fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(**kw))
+
+
+@query
+def chat_audit(spark, sf):
+    return _chat_audit(spark, sf)
+
+
+@query
+def speech_audit(spark, sf):
+    return _speech_audit(spark, sf)
+
+
+@query
+def audit_union(spark, sf):
+    return audit.audit_union(_chat_audit(spark, sf), _speech_audit(spark, sf))
+
+
+@query
+def integrate_results(spark, sf):
+    return audit.integrate(audit.audit_union(_chat_audit(spark, sf), _speech_audit(spark, sf)),
+                           fx.calls(spark, sf))
+
+
+@query
+def daily_audit(spark, sf):
+    """Q5: chat and speech audits of the day, unioned and integrated."""
+    return audit_plan.daily_audit(_chat(spark, sf), fx.speech_json(spark, sf), fx.calls(spark, sf),
+                                  fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(prediction_date=fx.CALL_DATE),
+                                  fx.canned(spark, sf))

@@ -23,6 +23,8 @@ TERMS = ["und", "que", "la", "that", "was", "from", "this", "die"]
 TEST_THRESHOLD = 0.02
 CHAT_CREATE_TIME = "2024-01-15 08:00:00"
 CALL_DATE = "2024-01-15"
+EVENT_DAY = "2024-01-15"      # day of the events day-scan
+ORDER_DAY = "1996-06-03"      # day of the orders day-scan
 USER_ID = "user"
 AGENT_ID = "assistant"
 SEVEN_KEY_TURN = (7, 6)      # turn % 7 == 6 -> message has 7 keys
@@ -36,7 +38,7 @@ RULES = [
     (4, "4-NOT SPECIFIED", "abc", "die"),
     (5, "5-LOW", "6", "la#die"),
     (6, "2-HIGH", "5", "that#und"),
-    (7, "4-NOT SPECIFIED", "7", ""),
+    (7, "3-MEDIUM", "3", "#was"),
 ]
 # ---------------------------------------------------------------------------
 
@@ -93,9 +95,9 @@ def chat_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """chat_record rows: one JSON array of messages per conversation."""
     c = table(spark, sf_dir, "conversations")
     per = c.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("turn"), _chat_message(c).alias("m")))).alias("ms"))
+        F.sort_array(F.collect_list(F.struct(F.col("turn"), F.to_json(_chat_message(c)).alias("m")))).alias("ms"))
     js = per.select(
-        "conv_id", F.to_json(F.transform("ms", lambda x: x["m"])).alias("js"))
+        "conv_id", F.concat(F.lit("["), F.array_join(F.transform("ms", lambda x: x["m"]), ","), F.lit("]")).alias("js"))
     return js.select(
         F.lit(CHAT_CREATE_TIME).cast("timestamp_ntz").alias("create_time"),
         _bad(F.col("conv_id"), "js").alias("chat_records"),
