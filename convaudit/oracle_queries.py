@@ -178,3 +178,44 @@ SQL["speech_audit"] = W("SELECT * FROM speech_result", "speech_result")
 SQL["audit_union"] = W("SELECT * FROM audit_rows", "audit_rows")
 SQL["integrate_results"] = W("SELECT * FROM integrated", "integrated")
 SQL["daily_audit"] = W("SELECT * FROM integrated", "integrated")
+
+# ---------------------------------------------------------------- evaluation
+_LP = "(SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(1 - toxic AS DOUBLE) AS prediction FROM labels)"
+
+SQL["eval_accuracy"] = f"""
+SELECT count(*) AS n, CAST(coalesce(sum(CAST((CASE WHEN prediction >= 0.5 THEN 1.0 ELSE 0.0 END) = label AS BIGINT)), 0)
+                           AS BIGINT) AS n_correct,
+       CASE WHEN count(*) > 0 THEN CAST(sum(CAST((CASE WHEN prediction >= 0.5 THEN 1.0 ELSE 0.0 END) = label AS BIGINT))
+                                         AS DOUBLE) / CAST(count(*) AS DOUBLE) END AS accuracy
+FROM {_LP}"""
+
+SQL["eval_auc_hard"] = f"""
+SELECT n_pos, n_neg, tp, fp,
+       CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(n_pos * n_neg + tp * n_neg - fp * n_pos AS DOUBLE)
+                                             / CAST(2 * n_pos * n_neg AS DOUBLE) END AS auc
+FROM (SELECT CAST(sum(CAST(label = 1.0 AS BIGINT)) AS BIGINT) AS n_pos,
+             CAST(sum(CAST(label = 0.0 AS BIGINT)) AS BIGINT) AS n_neg,
+             CAST(sum(CAST(prediction >= 0.5 AND label = 1.0 AS BIGINT)) AS BIGINT) AS tp,
+             CAST(sum(CAST(prediction >= 0.5 AND label = 0.0 AS BIGINT)) AS BIGINT) AS fp
+      FROM {_LP})"""
+
+SQL["eval_auc_rank"] = """
+SELECT n_pos, n_neg,
+       CASE WHEN n_pos > 0 AND n_neg > 0 THEN CAST(two_r - n_pos * (n_pos + 1) AS DOUBLE)
+                                             / CAST(2 * n_pos * n_neg AS DOUBLE) END AS auc
+FROM (SELECT CAST(sum(p) AS BIGINT) AS n_pos, CAST(sum(c) - sum(p) AS BIGINT) AS n_neg,
+             CAST(sum(p * (2 * b + c + 1)) AS BIGINT) AS two_r
+      FROM (SELECT s, c, p, coalesce(sum(c) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
+            FROM (SELECT d.n_chars AS s, count(*) AS c, sum(CAST(l.quality = 1 AS BIGINT)) AS p
+                  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+                  WHERE d.n_chars IS NOT NULL AND l.quality IN (0, 1) GROUP BY d.n_chars)))"""
+
+SQL["train_corpus"] = W(f"""
+SELECT doc_id, CASE WHEN label = 1.0 THEN 'POS' ELSE 'NEG' END AS tag, label,
+       CAST(len(list_filter(regexp_extract_all(lower(text), {WORD_RE}),
+                            lambda t: translate(t, {FILTER_SQL}, '') <> '')) AS INTEGER) AS n_tokens
+FROM labelled WHERE label IN (0.0, 1.0)""", "labelled")
+
+SQL["train_test_split"] = W("""
+SELECT CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, label, count(*) AS n
+FROM labelled GROUP BY 1, 2""", "labelled")

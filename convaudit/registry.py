@@ -15,11 +15,17 @@ from pyspark.sql import functions as F
 from convaudit.config import AuditConfig, FlowConfig
 from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
-from convaudit.operators import flow, parse
+from convaudit.operators import evaluate, flow, parse
 from convaudit.operators import lexicon as lexops
 from convaudit.operators.score import RatioScorer, blend, mean_of
 from convaudit.operators.select import argmax, argmax_window, choose, speaker_bests
-from convaudit.plans import audit
+from pyspark.ml.functions import vector_to_array
+
+from convaudit.ml import train as ml_train
+from convaudit.ml.features import FeatureConfig, feature_pipeline
+from convaudit.ml.score import ModelScorer, neg_prob, predict_label
+from convaudit.ml.train import TrainConfig
+from convaudit.plans import audit, training
 from convaudit.plans import audit as audit_plan
 from convaudit.plans import flowcheck as flowplan
 from convaudit.sources import fixtures as fx
@@ -343,3 +349,120 @@ def daily_audit(spark, sf):
     return audit_plan.daily_audit(_chat(spark, sf), fx.speech_json(spark, sf), fx.calls(spark, sf),
                                   fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(prediction_date=fx.CALL_DATE),
                                   fx.canned(spark, sf))
+
+
+# ---------------------------------------------------------------- evaluation
+
+def _label_pred(spark, sf):
+    """Labels with a stand-in hard prediction: quality is the label, 1 - toxic the prediction."""
+    lab = fx.table(spark, sf, "labels")
+    return lab.select("doc_id", F.col("quality").cast("double").alias("label"),
+                      (F.lit(1) - F.col("toxic")).cast("double").alias("prediction"))
+
+
+@query
+def eval_accuracy(spark, sf):
+    return evaluate.accuracy(_label_pred(spark, sf))
+
+
+@query
+def eval_auc_hard(spark, sf):
+    return evaluate.auc_hard(_label_pred(spark, sf))
+
+
+@query
+def eval_auc_rank(spark, sf):
+    """Rank AUC of document length as a score for the quality label."""
+    d = fx.table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("score"))
+    lab = fx.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return evaluate.auc_rank(d.join(lab, "doc_id"))
+
+
+@query
+def train_corpus(spark, sf):
+    pos, neg = evaluate.split_corpus(fx.labelled(spark, sf))
+    c = evaluate.tagged_corpus(pos, neg)
+    return c.select("doc_id", "tag", "label", F.size(clean_tokens(tokenize("text"))).cast("int").alias("n_tokens"))
+
+
+@query
+def train_test_split(spark, sf):
+    s = evaluate.assign_split(fx.labelled(spark, sf))
+    return s.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- ML (rows-only checks)
+# Test-scale model settings: the library defaults are the reference's (400-dim
+# vectors, 5000 LR iterations, 300 trees); the registered queries use small
+# ones so a check at sf0.01 finishes in seconds. Every labelled row is used.
+ML_FEATURES = FeatureConfig(num_features=1 << 12, vector_size=32, w2v_iters=1)
+ML_CFG = TrainConfig(features=ML_FEATURES, lr_max_iter=100, trees=20, depth=5, gbt_iters=5)
+
+
+def _split(spark, sf):
+    return training.split(fx.labelled(spark, sf))
+
+
+@query
+def features_two_view(spark, sf):
+    lab = fx.labelled(spark, sf)
+    m = feature_pipeline(ML_FEATURES).fit(lab)
+    v = m.transform(lab)
+    return v.select("doc_id", "label", vector_to_array("features").alias("_f")).select(
+        "doc_id", "label", F.size("_f").cast("int").alias("dim"),
+        F.round(F.aggregate("_f", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
+
+
+def _fit_one(spark, sf, name):
+    train, test = _split(spark, sf)
+    return ml_train.FITTERS[name](train, ML_CFG), test
+
+
+@query
+def lr_neg_prob(spark, sf):
+    m, test = _fit_one(spark, sf, "lr")
+    return neg_prob(m, test.select("doc_id", "text", "label")).drop("text")
+
+
+@query
+def rf_neg_prob(spark, sf):
+    m, test = _fit_one(spark, sf, "rf")
+    return neg_prob(m, test.select("doc_id", "text", "label")).drop("text")
+
+
+@query
+def gbt_neg_prob(spark, sf):
+    m, test = _fit_one(spark, sf, "gbt")
+    return neg_prob(m, test.select("doc_id", "text", "label")).drop("text")
+
+
+@query
+def regress_score(spark, sf):
+    m, test = _fit_one(spark, sf, "regressor")
+    return predict_label(m, test.select("doc_id", "text", "label"), "score").drop("text")
+
+
+@query
+def predict_label_lr(spark, sf):
+    m, test = _fit_one(spark, sf, "lr")
+    return predict_label(m, test.select("doc_id", "text", "label")).drop("text")
+
+
+@query
+def ensemble_neg_prob(spark, sf):
+    train, test = _split(spark, sf)
+    return training.score_test(training.fit_models(train, ("lr", "rf"), ML_CFG), test)
+
+
+@query
+def model_report(spark, sf):
+    train, test = _split(spark, sf)
+    return training.report(training.fit_models(train, ("lr", "rf", "gbt", "regressor"), ML_CFG), test)
+
+
+@query
+def chat_audit_lr(spark, sf):
+    """Q1 with a logistic-regression scorer trained on the labelled corpus."""
+    train, _ = _split(spark, sf)
+    scorer = ModelScorer([ml_train.fit_lr(train, ML_CFG)])
+    return audit.chat_audit(_chat(spark, sf), fx.TERMS, scorer, _cfg(chat_threshold=0.5), fx.canned(spark, sf))
