@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from convaudit.config import NO_KEYWORD
 from convaudit.functions.lexicon import first_contained
 from convaudit.operators.parse import call_texts
-from convaudit.operators.util import bounded_broadcast
+from convaudit.operators.util import is_bounded, maybe_broadcast
 
 
 def parse_rules(rules: DataFrame, order_col: str = "rule_id") -> DataFrame:
@@ -51,21 +51,27 @@ def _between(c: Column, dates: tuple[str, str] | None) -> Column:
     return (c >= F.lit(lo).cast("date")) & (c <= F.lit(hi).cast("date"))
 
 
+def rules_are_small(rules_p: DataFrame, max_rules: int = 100_000) -> bool:
+    """Whether the parsed rule table may be broadcast (checked once per plan)."""
+    return is_bounded(rules_p, max_rules)
+
+
 def scan_tickets(tickets: DataFrame, rules_p: DataFrame, dates: tuple[str, str] | None = None,
-                 max_rules: int = 100_000) -> DataFrame:
+                 small_rules: bool | None = None) -> DataFrame:
     """Tickets of the date window whose type has a rule.
 
     The date predicate reaches the parquet scan; the type restriction is a
     semi join against the broadcast rule types (the reference's ``IN`` list).
     """
-    types = bounded_broadcast(rules_p.select(F.col("question_type").alias("problem_config_no_3")), max_rules)
+    small = rules_are_small(rules_p) if small_rules is None else small_rules
+    types = maybe_broadcast(rules_p.select(F.col("question_type").alias("problem_config_no_3")), small)
     return tickets.where(_between(F.col("v_date"), dates)).join(types, "problem_config_no_3", "left_semi")
 
 
-def ticket_thresholds(tickets_s: DataFrame, rules_p: DataFrame, max_rules: int = 100_000) -> DataFrame:
+def ticket_thresholds(tickets_s: DataFrame, rules_p: DataFrame, small_rules: bool | None = None) -> DataFrame:
     """Each scanned ticket with its type's threshold and pass flag."""
-    r = bounded_broadcast(rules_p.select(F.col("question_type").alias("problem_config_no_3"), "threshold"),
-                          max_rules)
+    small = rules_are_small(rules_p) if small_rules is None else small_rules
+    r = maybe_broadcast(rules_p.select(F.col("question_type").alias("problem_config_no_3"), "threshold"), small)
     t = tickets_s.join(r, "problem_config_no_3")
     # a null caller count fails the test but still counts for the order's type
     return t.withColumn("passes", F.coalesce(F.col("caller_num").cast("double") >= F.col("threshold"),
@@ -100,9 +106,10 @@ def scan_calls(calls: DataFrame, orders: DataFrame, dates: tuple[str, str] | Non
     return calls.where(_between(F.col("v_date"), dates)).join(o, "order_no")
 
 
-def attach_keywords(calls_t: DataFrame, rules_p: DataFrame, max_rules: int = 100_000) -> DataFrame:
+def attach_keywords(calls_t: DataFrame, rules_p: DataFrame, small_rules: bool | None = None) -> DataFrame:
     """Bring each call's keyword list into the row (J4). Unknown types drop out."""
-    r = bounded_broadcast(rules_p.select("question_type", "keywords"), max_rules)
+    small = rules_are_small(rules_p) if small_rules is None else small_rules
+    r = maybe_broadcast(rules_p.select("question_type", "keywords"), small)
     return calls_t.join(r, "question_type")
 
 

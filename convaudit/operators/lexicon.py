@@ -63,10 +63,13 @@ def semi_join_lexicon(df: DataFrame, lexicon: DataFrame, keys: Sequence[str], mo
         if 0 in lens:  # the empty entry is contained in every text
             return df
         joined = F.concat_ws("", F.col(tokens))
-        subs = F.flatten(F.array(*[
-            F.transform(F.sequence(F.lit(1), F.greatest(F.length(joined) - n + 1, F.lit(0))),
-                        lambda i, n=n: F.substring(joined, i, n))
-            for n in sorted(lens)]))
+
+        def grams(n: int):
+            # one-argument lambda: a second parameter would be bound to the element index
+            return F.transform(F.sequence(F.lit(1), F.greatest(F.length(joined) - n + 1, F.lit(0))),
+                               lambda i: F.substring(joined, i, F.lit(n)))
+
+        subs = F.flatten(F.array(*[grams(n) for n in sorted(lens)]))
         probe = df.select(*keys, F.explode(subs).alias("_e")).where(F.length("_e") > 0)
     else:
         raise ValueError(f"unknown sensitive mode {mode!r}")

@@ -6,6 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
 
@@ -13,8 +22,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     the frame is returned unhinted and the join falls back to a shuffle join
     (AQE may still convert it at run time from measured sizes).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return maybe_broadcast(df, is_bounded(df, max_rows))
 
 
 def checkpoint_table(df: DataFrame, name: str) -> DataFrame:

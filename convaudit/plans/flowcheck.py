@@ -26,9 +26,9 @@ def flow_check(rules: DataFrame, tickets: DataFrame, calls: DataFrame,
     tickets = schemas.require(tickets, schemas.TICKET, "ticket")
     calls = schemas.require(calls, schemas.CALL_RECORD, "call_record")
     rules_p = flow.parse_rules(rules)
-    t = flow.ticket_thresholds(flow.scan_tickets(tickets, rules_p, cfg.ticket_dates, cfg.max_broadcast_rules),
-                               rules_p, cfg.max_broadcast_rules)
+    small = flow.rules_are_small(rules_p, cfg.max_broadcast_rules)
+    t = flow.ticket_thresholds(flow.scan_tickets(tickets, rules_p, cfg.ticket_dates, small), rules_p, small)
     orders = flow.order_info(t)
-    c = flow.attach_keywords(flow.scan_calls(calls, orders, cfg.call_dates), rules_p, cfg.max_broadcast_rules)
+    c = flow.attach_keywords(flow.scan_calls(calls, orders, cfg.call_dates), rules_p, small)
     results = flow.flow_results(c, cfg.is_keyword)
     return FlowOutputs(rules_p, t, orders, c, results, flow.flow_summary(results, orders))
