@@ -25,8 +25,9 @@ def flow_check(rules: DataFrame, tickets: DataFrame, calls: DataFrame,
                cfg: FlowConfig = FlowConfig()) -> FlowOutputs:
     tickets = schemas.require(tickets, schemas.TICKET, "ticket")
     calls = schemas.require(calls, schemas.CALL_RECORD, "call_record")
+    # parsed rules are at most as many as raw rule rows: bound the raw table (no shuffle)
+    small = flow.rules_are_small(rules, cfg.max_broadcast_rules)
     rules_p = flow.parse_rules(rules)
-    small = flow.rules_are_small(rules_p, cfg.max_broadcast_rules)
     t = flow.ticket_thresholds(flow.scan_tickets(tickets, rules_p, cfg.ticket_dates, small), rules_p, small)
     orders = flow.order_info(t)
     c = flow.attach_keywords(flow.scan_calls(calls, orders, cfg.call_dates), rules_p, small)
