@@ -20,3 +20,4 @@ def test_matches_oracle(spark, duck01, name):
     r = compare(spark, name, SF01, duck01)
     assert r["cols_match"], r
     assert r["match"], r
+    assert not r["type_diffs"], r
