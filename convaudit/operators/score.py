@@ -30,6 +30,10 @@ class RatioScorer:
     def __call__(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.out, ratio_score(self.tokens, list(self.terms)))
 
+    def column(self, tokens: Column) -> Column:
+        """The score as an expression of a token array (lets plans score inside a row)."""
+        return ratio_score(tokens, list(self.terms))
+
 
 def blend(score: Column, emotion: Column, weights: tuple[float, float] = EMOTION_WEIGHTS) -> Column:
     """``w0 * score + w1 * emotion`` (F1); null when either input is null."""

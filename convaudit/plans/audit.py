@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convaudit import schemas
@@ -54,13 +54,77 @@ def chat_scored(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditCon
     return s.where(compare(F.col("score"), op, cfg.chat_threshold) & (F.col("score") > 0))
 
 
+def _inline_inputs(lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: DataFrame | None):
+    """(entries, canned sentences) when the in-row path applies, else None.
+
+    It applies when the scorer is an expression of a token array and the lexicon
+    and canned table are within their inline bounds (checked by count).
+    """
+    if not cfg.inline or not hasattr(scorer, "column"):
+        return None
+    entries = lexops.inline_entries(lexicon, cfg.max_inline_lexicon)
+    if entries is None:
+        return None
+    sentences: list[str] = []
+    if canned is not None:
+        sentences = lexops.inline_entries(canned.select("sentence"), cfg.max_inline_canned)
+        if sentences is None:
+            return None
+    return entries, sentences
+
+
+def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], scorer, cfg: AuditConfig) -> Column:
+    """The chosen (speaker, score, text) of one chat record, computed inside its row.
+
+    Same steps as the exploded plan — 8-key guard, speaker, canned, tokens,
+    lexicon, score, sentence threshold, best per speaker, choice — as
+    higher-order functions over the record's message array: no explode, no
+    shuffle, one result per input record.
+    """
+    msgs = F.from_json(F.col("chat_records"), schemas.CHAT_JSON)
+
+    def cand(m, i):
+        digest = m["digest"]
+        return F.struct(
+            F.size(m).alias("n_keys"), i.alias("pos"), digest.alias("text"),
+            parse.speaker_of(m["userId"], F.col("user_id"), F.col("agent_id")).alias("speaker"),
+            clean_tokens(tokenize(digest, cfg.han_mode), cfg.filter_chars).alias("tokens"))
+
+    def keep(x):
+        ok = (x["n_keys"] == cfg.message_keys) & x["speaker"].isNotNull() & (F.size(x["tokens"]) > 0)
+        if canned:
+            ok = ok & ~F.coalesce(F.trim(x["text"]).isin(*canned), F.lit(False))
+        return ok & sensitive(x["tokens"], entries, cfg.sensitive_mode)
+
+    scored = F.transform(F.filter(F.transform(msgs, cand), keep), lambda x: F.struct(
+        x["speaker"].alias("speaker"),
+        F.struct(scorer.column(x["tokens"]).alias("score"), (-x["pos"]).alias("neg_pos"),
+                 x["text"].alias("text")).alias("b")))
+    op = cfg.sentence_op or ">"
+    passing = F.filter(scored, lambda x: compare(x["b"]["score"], op, cfg.chat_threshold) & (x["b"]["score"] > 0))
+
+    def best(who):
+        return F.array_max(F.transform(F.filter(passing, lambda x: x["speaker"] == who), lambda x: x["b"]))
+
+    return choose(best("user"), best("agent"), cfg.select_mode)
+
+
 def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig = AuditConfig(),
                canned: DataFrame | None = None) -> DataFrame:
-    """Q1 -> audit_result rows (source 1)."""
+    """Q1 -> audit_result rows (source 1).
+
+    With an expression scorer and bounded lexicon/canned tables the whole audit
+    runs inside each record's row (map-only plan); otherwise sentences are
+    exploded, scored (e.g. by a model) and reduced with one partial aggregate.
+    """
     chat = schemas.require(chat, schemas.CHAT_RECORD, "chat_record")
-    s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
-    best = speaker_bests(s, ["create_time", "session_id"])
-    pick = best.select("create_time", "session_id", choose(F.col("u"), F.col("a"), cfg.select_mode).alias("c"))
+    inline = _inline_inputs(lexicon, scorer, cfg, canned)
+    if inline is not None:
+        pick = chat.select("create_time", "session_id", _chat_pick_inline(chat, *inline, scorer, cfg).alias("c"))
+    else:
+        s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
+        best = speaker_bests(s, ["create_time", "session_id"])
+        pick = best.select("create_time", "session_id", choose(F.col("u"), F.col("a"), cfg.select_mode).alias("c"))
     pick = pick.where(F.col("c").isNotNull() & compare(F.col("c.score"), cfg.record_op, cfg.chat_threshold))
     return pick.select(
         F.date_format("create_time", "yyyy-MM-dd").alias("v_date"),
@@ -87,11 +151,42 @@ def speech_scored(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audi
     return s.where(compare(F.col("score"), op, cfg.speech_threshold) & (F.col("score") > 0))
 
 
+def _speech_best_inline(entries: list[str], scorer, cfg: AuditConfig) -> Column:
+    """Best (score, -pos, text) of one speech record, computed inside its row."""
+    sents = F.from_json(F.col("result"), schemas.SPEECH_JSON)["sentenceListData"]
+
+    def cand(s, i):
+        return F.struct(i.alias("pos"), s["wordList"].alias("words"),
+                        clean_tokens(s["wordList"], cfg.filter_chars).alias("tokens"))
+
+    def keep(x):
+        return (F.size(x["words"]) >= cfg.min_words) & (F.size(x["tokens"]) > 0) \
+            & sensitive(x["tokens"], entries, cfg.sensitive_mode)
+
+    scored = F.transform(F.filter(F.transform(sents, cand), keep), lambda x: F.struct(
+        blend(scorer.column(x["tokens"]), F.col("score_qingxu"), cfg.emotion_weights).alias("score"),
+        (-x["pos"]).alias("neg_pos"), F.concat_ws(" ", x["words"]).alias("text")))
+    op = cfg.sentence_op or ">="
+    return F.array_max(F.filter(scored, lambda x: compare(x["score"], op, cfg.speech_threshold)
+                                & (x["score"] > 0)))
+
+
 def speech_audit(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig = AuditConfig()) -> DataFrame:
-    """Q2 -> audit_result rows (source 2); the text is the sentence's words joined by spaces."""
+    """Q2 -> audit_result rows (source 2); the text is the sentence's words joined by spaces.
+
+    In-row (map-only) with an expression scorer and a bounded lexicon, else
+    exploded + one partial aggregate.
+    """
     speech = schemas.require(speech, schemas.SPEECH_RECORD, "speech_record")
-    s = speech_scored(speech, lexicon, scorer, cfg).withColumn("text", F.concat_ws(" ", "words"))
-    best = argmax(s, ["v_date", "task_no"])
+    inline = _inline_inputs(lexicon, scorer, cfg, None)
+    if inline is not None:
+        b = speech.select("v_date", "task_no", _speech_best_inline(inline[0], scorer, cfg).alias("_b"))
+        best = b.where(F.col("_b").isNotNull()).select(
+            "v_date", "task_no", F.col("_b.score").alias("best_score"), (-F.col("_b.neg_pos")).alias("best_pos"),
+            F.col("_b.text").alias("best_text"))
+    else:
+        s = speech_scored(speech, lexicon, scorer, cfg).withColumn("text", F.concat_ws(" ", "words"))
+        best = argmax(s, ["v_date", "task_no"])
     best = best.where(compare(F.col("best_score"), cfg.record_op, cfg.speech_threshold))
     day = F.date_format("v_date", "yyyy-MM-dd")
     return best.select(

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from convaudit.config import AuditConfig, FlowConfig
@@ -32,12 +34,22 @@ def chat_df(spark, rows):
         data, "create_time timestamp_ntz, chat_records string, session_id string, user_id string, agent_id string")
 
 
+INLINE = [True]
+
+
 def cfg(**kw):
-    base = dict(chat_threshold=0.1, speech_threshold=0.1)
+    base = dict(chat_threshold=0.1, speech_threshold=0.1, inline=INLINE[0])
     base.update(kw)
     return AuditConfig(**base)
 
 
+@pytest.fixture(params=[True, False], ids=["in-row", "exploded"], autouse=True)
+def plan_shape(request):
+    INLINE[0] = request.param
+    yield
+    INLINE[0] = True
+
+
 def result(df):
     return {r.record_id: (r.problem_text, round(r.score, 6)) for r in df.collect()}
 

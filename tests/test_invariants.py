@@ -82,3 +82,33 @@ def test_day_scan_pushes_filter_to_parquet(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in plan
     assert "LessThan(ts," in plan
+
+
+def test_inline_and_exploded_audits_agree(spark):
+    """The map-only (in-row) audits equal the explode + aggregate audits."""
+    import pytest  # noqa: F401
+
+    scorer = RatioScorer(tuple(fx.TERMS))
+    chats, speech, canned = fx.chat_json(spark, SF01), fx.speech_json(spark, SF01), fx.canned(spark, SF01)
+    for mode in ["intended", "faithful"]:
+        a = audit.chat_audit(chats, fx.TERMS, scorer, AuditConfig(chat_threshold=0.02, select_mode=mode), canned)
+        b = audit.chat_audit(chats, fx.TERMS, scorer,
+                             AuditConfig(chat_threshold=0.02, select_mode=mode, inline=False), canned)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a = audit.speech_audit(speech, fx.TERMS, scorer, AuditConfig(speech_threshold=0.02))
+    b = audit.speech_audit(speech, fx.TERMS, scorer, AuditConfig(speech_threshold=0.02, inline=False))
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_inline_audit_plan_has_no_shuffle(spark):
+    """Over stored records the in-row chat audit is a map-only plan."""
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="chat-records-", dir=str(spark.conf.get("spark.checkpoint.dir")))
+    fx.chat_json(spark, SF01).write.mode("overwrite").parquet(path)
+    chats = spark.read.parquet(path)
+    out = audit.chat_audit(chats, fx.TERMS, RatioScorer(tuple(fx.TERMS)), AuditConfig(chat_threshold=0.02))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan, plan
