@@ -47,9 +47,10 @@ def inline_entries(lexicon, max_entries: int) -> list[str] | None:
         return list(lexicon)
     col = lexicon.columns[0]
     small = lexicon.select(F.col(col).alias("entry")).where(F.col("entry").isNotNull()).distinct()
-    if small.limit(max_entries + 1).count() > max_entries:
+    rows = small.limit(max_entries + 1).collect()  # at most max_entries + 1 rows reach the driver
+    if len(rows) > max_entries:
         return None
-    return [r.entry for r in small.collect()]
+    return [r.entry for r in rows]
 
 
 def semi_join_lexicon(df: DataFrame, lexicon: DataFrame, keys: Sequence[str], mode: str = "substring",

@@ -73,30 +73,39 @@ def _inline_inputs(lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: D
     return entries, sentences
 
 
-def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], scorer, cfg: AuditConfig) -> Column:
-    """The chosen (speaker, score, text) of one chat record, computed inside its row.
+def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], scorer,
+                      cfg: AuditConfig) -> DataFrame:
+    """``create_time, session_id, c``: the chosen (speaker, score, text) of each
+    chat record, computed inside its row.
 
     Same steps as the exploded plan — 8-key guard, speaker, canned, tokens,
     lexicon, score, sentence threshold, best per speaker, choice — as
     higher-order functions over the record's message array: no explode, no
-    shuffle, one result per input record.
+    shuffle, one result per input record. The candidate array and the two
+    bests are separate projections, so each is evaluated once per row even
+    though the choice refers to them several times.
     """
     msgs = F.from_json(F.col("chat_records"), schemas.CHAT_JSON)
 
     def cand(m, i):
-        digest = m["digest"]
-        return F.struct(
-            F.size(m).alias("n_keys"), i.alias("pos"), digest.alias("text"),
-            parse.speaker_of(m["userId"], F.col("user_id"), F.col("agent_id")).alias("speaker"),
-            clean_tokens(tokenize(digest, cfg.han_mode), cfg.filter_chars).alias("tokens"))
+        return F.struct(F.size(m).alias("n_keys"), i.alias("pos"), m["digest"].alias("text"),
+                        parse.speaker_of(m["userId"], F.col("user_id"), F.col("agent_id")).alias("speaker"))
 
-    def keep(x):
-        ok = (x["n_keys"] == cfg.message_keys) & x["speaker"].isNotNull() & (F.size(x["tokens"]) > 0)
+    def spoken(x):  # cheap tests first: key count, speaker, canned text
+        ok = (x["n_keys"] == cfg.message_keys) & x["speaker"].isNotNull()
         if canned:
             ok = ok & ~F.coalesce(F.trim(x["text"]).isin(*canned), F.lit(False))
-        return ok & sensitive(x["tokens"], entries, cfg.sensitive_mode)
+        return ok
+
+    def tokens(x):
+        return F.struct(x["pos"].alias("pos"), x["text"].alias("text"), x["speaker"].alias("speaker"),
+                        clean_tokens(tokenize(x["text"], cfg.han_mode), cfg.filter_chars).alias("tokens"))
+
+    def keep(x):
+        return (F.size(x["tokens"]) > 0) & sensitive(x["tokens"], entries, cfg.sensitive_mode)
 
-    scored = F.transform(F.filter(F.transform(msgs, cand), keep), lambda x: F.struct(
+    cands = F.filter(F.transform(F.filter(F.transform(msgs, cand), spoken), tokens), keep)
+    scored = F.transform(cands, lambda x: F.struct(
         x["speaker"].alias("speaker"),
         F.struct(scorer.column(x["tokens"]).alias("score"), (-x["pos"]).alias("neg_pos"),
                  x["text"].alias("text")).alias("b")))
@@ -104,9 +113,11 @@ def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], sc
     passing = F.filter(scored, lambda x: compare(x["b"]["score"], op, cfg.chat_threshold) & (x["b"]["score"] > 0))
 
     def best(who):
-        return F.array_max(F.transform(F.filter(passing, lambda x: x["speaker"] == who), lambda x: x["b"]))
+        return F.array_max(F.transform(F.filter(F.col("_p"), lambda x: x["speaker"] == who), lambda x: x["b"]))
 
-    return choose(best("user"), best("agent"), cfg.select_mode)
+    p = chat.select("create_time", "session_id", passing.alias("_p"))
+    b = p.select("create_time", "session_id", best("user").alias("_u"), best("agent").alias("_a"))
+    return b.select("create_time", "session_id", choose(F.col("_u"), F.col("_a"), cfg.select_mode).alias("c"))
 
 
 def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig = AuditConfig(),
@@ -120,7 +131,7 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
     chat = schemas.require(chat, schemas.CHAT_RECORD, "chat_record")
     inline = _inline_inputs(lexicon, scorer, cfg, canned)
     if inline is not None:
-        pick = chat.select("create_time", "session_id", _chat_pick_inline(chat, *inline, scorer, cfg).alias("c"))
+        pick = _chat_pick_inline(chat, *inline, scorer, cfg)
     else:
         s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
         best = speaker_bests(s, ["create_time", "session_id"])
