@@ -26,7 +26,6 @@ from convaudit.ml.features import FeatureConfig, feature_pipeline
 from convaudit.ml.score import ModelScorer, neg_prob, predict_label
 from convaudit.ml.train import TrainConfig
 from convaudit.plans import audit, training
-from convaudit.plans import audit as audit_plan
 from convaudit.plans import flowcheck as flowplan
 from convaudit.sources import fixtures as fx
 from convaudit.sources import tables
@@ -346,7 +345,7 @@ def integrate_results(spark, sf):
 @query
 def daily_audit(spark, sf):
     """Q5: chat and speech audits of the day, unioned and integrated."""
-    return audit_plan.daily_audit(_chat(spark, sf), fx.speech_json(spark, sf), fx.calls(spark, sf),
+    return audit.daily_audit(_chat(spark, sf), fx.speech_json(spark, sf), fx.calls(spark, sf),
                                   fx.TERMS, RatioScorer(tuple(fx.TERMS)), _cfg(prediction_date=fx.CALL_DATE),
                                   fx.canned(spark, sf))
 
