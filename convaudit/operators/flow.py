@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from convaudit.config import NO_KEYWORD
 from convaudit.functions.lexicon import first_contained
 from convaudit.operators.parse import call_texts
-from convaudit.operators.util import is_bounded, maybe_broadcast
+from convaudit.operators.util import is_bounded, maybe_broadcast, present
 
 
 def parse_rules(rules: DataFrame, order_col: str = "rule_id") -> DataFrame:
@@ -136,7 +136,7 @@ def flow_results(calls_k: DataFrame, is_keyword: bool = True) -> DataFrame:
     """One row per call record with a hit: v_date, source, order_no, task_no, keyword, text."""
     texts = call_texts(F.col("result"), F.col("source"))
     hit = first_hit(texts, F.col("keywords") if is_keyword else None)
-    r = calls_k.select("v_date", "source", "order_no", "task_no", hit.alias("_h")).where(F.col("_h").isNotNull())
+    r = calls_k.select("v_date", "source", "order_no", "task_no", present(hit).alias("_h"))
     return r.select(F.date_format("v_date", "yyyy-MM-dd").alias("v_date"), F.col("source").cast("int").alias("source"),
                     "order_no", "task_no", F.col("_h.keyword").alias("keyword"), F.col("_h.text").alias("text"))
 

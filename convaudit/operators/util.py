@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def present(value: Column, pred: Callable[[Column], Column] | None = None) -> Column:
+    """Generator giving ``value`` once when it is non-null (and passes ``pred``), else no row.
+
+    Used instead of ``select(value).where(value is not null)``: the optimizer
+    pushes such a filter below the projection and substitutes the expression,
+    so an expensive per-row computation would run once in the filter and again
+    in the projection. A generator evaluates it once.
+    """
+    ok = (lambda x: x.isNotNull()) if pred is None else (lambda x: x.isNotNull() & pred(x))
+    return F.explode(F.filter(F.array(value), ok))
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -22,6 +22,7 @@ from convaudit.operators import lexicon as lexops
 from convaudit.operators import parse
 from convaudit.operators.score import blend
 from convaudit.operators.select import argmax, choose, speaker_bests
+from convaudit.operators.util import present
 from convaudit.sources.tables import day_scan
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -117,7 +118,9 @@ def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], sc
 
     p = chat.select("create_time", "session_id", passing.alias("_p"))
     b = p.select("create_time", "session_id", best("user").alias("_u"), best("agent").alias("_a"))
-    return b.select("create_time", "session_id", choose(F.col("_u"), F.col("_a"), cfg.select_mode).alias("c"))
+    ok = lambda c: compare(c["score"], cfg.record_op, cfg.chat_threshold)
+    return b.select("create_time", "session_id", present(choose(F.col("_u"), F.col("_a"), cfg.select_mode), ok)
+                    .alias("c"))
 
 
 def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig = AuditConfig(),
@@ -136,7 +139,7 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
         s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
         best = speaker_bests(s, ["create_time", "session_id"])
         pick = best.select("create_time", "session_id", choose(F.col("u"), F.col("a"), cfg.select_mode).alias("c"))
-    pick = pick.where(F.col("c").isNotNull() & compare(F.col("c.score"), cfg.record_op, cfg.chat_threshold))
+        pick = pick.where(F.col("c").isNotNull() & compare(F.col("c.score"), cfg.record_op, cfg.chat_threshold))
     return pick.select(
         F.date_format("create_time", "yyyy-MM-dd").alias("v_date"),
         F.date_format("create_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"),
@@ -191,8 +194,8 @@ def speech_audit(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audit
     speech = schemas.require(speech, schemas.SPEECH_RECORD, "speech_record")
     inline = _inline_inputs(lexicon, scorer, cfg, None)
     if inline is not None:
-        b = speech.select("v_date", "task_no", _speech_best_inline(inline[0], scorer, cfg).alias("_b"))
-        best = b.where(F.col("_b").isNotNull()).select(
+        b = speech.select("v_date", "task_no", present(_speech_best_inline(inline[0], scorer, cfg)).alias("_b"))
+        best = b.select(
             "v_date", "task_no", F.col("_b.score").alias("best_score"), (-F.col("_b.neg_pos")).alias("best_pos"),
             F.col("_b.text").alias("best_text"))
     else:
