@@ -20,6 +20,17 @@ def present(value: Column, pred: Callable[[Column], Column] | None = None) -> Co
     return F.explode(F.filter(F.array(value), ok))
 
 
+def keep_where(df: DataFrame, col: str, pred: Callable[[Column], Column]) -> DataFrame:
+    """Rows whose ``col`` is non-null and passes ``pred``, without a pushable filter.
+
+    For columns computed by something expensive (a model's prediction): a plain
+    ``where`` on them is pushed below the projection and the prediction would be
+    computed twice per row.
+    """
+    others = [c for c in df.columns if c != col]
+    return df.select(*others, present(F.col(col), pred).alias(col)).select(*df.columns)
+
+
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -22,7 +22,7 @@ from convaudit.operators import lexicon as lexops
 from convaudit.operators import parse
 from convaudit.operators.score import blend
 from convaudit.operators.select import argmax, choose, speaker_bests
-from convaudit.operators.util import present
+from convaudit.operators.util import keep_where, present
 from convaudit.sources.tables import day_scan
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -52,7 +52,7 @@ def chat_scored(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditCon
     s = scorer(chat_candidates(chat, lexicon, cfg, canned))
     op = cfg.sentence_op or ">"
     # only a positive score can beat the initial best of 0.0
-    return s.where(compare(F.col("score"), op, cfg.chat_threshold) & (F.col("score") > 0))
+    return keep_where(s, "score", lambda x: compare(x, op, cfg.chat_threshold) & (x > 0))
 
 
 def _inline_inputs(lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: DataFrame | None):
@@ -162,7 +162,7 @@ def speech_scored(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audi
     s = scorer(speech_candidates(speech, lexicon, cfg))
     s = s.withColumn("score", blend(F.col("score"), F.col("score_qingxu"), cfg.emotion_weights))
     op = cfg.sentence_op or ">="
-    return s.where(compare(F.col("score"), op, cfg.speech_threshold) & (F.col("score") > 0))
+    return keep_where(s, "score", lambda x: compare(x, op, cfg.speech_threshold) & (x > 0))
 
 
 def _speech_best_inline(entries: list[str], scorer, cfg: AuditConfig) -> Column:
