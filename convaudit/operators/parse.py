@@ -25,6 +25,18 @@ def parse_chat(chat: DataFrame) -> DataFrame:
     return chat.withColumn("msgs", F.from_json("chat_records", schemas.CHAT_JSON))
 
 
+def n_keys(m: Column) -> Column:
+    """Distinct keys of a parsed JSON object (a repeated key counts once)."""
+    return F.size(F.array_distinct(F.map_keys(m)))
+
+
+def field(m: Column, key: str) -> Column:
+    """Value of ``key`` in a parsed JSON object; for a repeated key the last one,
+    as a JSON-to-dict parser keeps it (Spark's map keeps every entry and a plain
+    lookup returns the first)."""
+    return F.get(F.reverse(F.filter(F.map_entries(m), lambda e: e["key"] == F.lit(key))), 0)["value"]
+
+
 def chat_messages(chat: DataFrame) -> DataFrame:
     """One row per message of every parseable, non-empty chat record.
 
@@ -34,9 +46,9 @@ def chat_messages(chat: DataFrame) -> DataFrame:
     p = parse_chat(chat)
     return p.select(*CHAT_KEYS, F.posexplode("msgs").alias("pos", "m")).select(
         *CHAT_KEYS, "pos",
-        F.size("m").alias("n_keys"),
-        F.col("m")["userId"].alias("user_key"),
-        F.col("m")["digest"].alias("digest"),
+        n_keys(F.col("m")).alias("n_keys"),
+        field(F.col("m"), "userId").alias("user_key"),
+        field(F.col("m"), "digest").alias("digest"),
     )
 
 

@@ -91,7 +91,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     # ---- derived views used by several queries ----
     "chat_msgs": (["chat_json"], """
         SELECT create_time, session_id, user_id, agent_id, CAST(pos AS INTEGER) AS pos, e,
-               CAST(len(json_keys(e)) AS INTEGER) AS n_keys, e->>'userId' AS user_key, e->>'digest' AS digest
+               CAST(len(list_distinct(json_keys(e))) AS INTEGER) AS n_keys, e->>'userId' AS user_key, e->>'digest' AS digest
         FROM (SELECT create_time, session_id, user_id, agent_id,
                      unnest(from_json(chat_records, '["JSON"]')) AS e,
                      generate_subscripts(from_json(chat_records, '["JSON"]'), 1) - 1 AS pos

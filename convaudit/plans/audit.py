@@ -89,8 +89,9 @@ def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], sc
     msgs = F.from_json(F.col("chat_records"), schemas.CHAT_JSON)
 
     def cand(m, i):
-        return F.struct(F.size(m).alias("n_keys"), i.alias("pos"), m["digest"].alias("text"),
-                        parse.speaker_of(m["userId"], F.col("user_id"), F.col("agent_id")).alias("speaker"))
+        return F.struct(parse.n_keys(m).alias("n_keys"), i.alias("pos"), parse.field(m, "digest").alias("text"),
+                        parse.speaker_of(parse.field(m, "userId"), F.col("user_id"), F.col("agent_id"))
+                        .alias("speaker"))
 
     def spoken(x):  # cheap tests first: key count, speaker, canned text
         ok = (x["n_keys"] == cfg.message_keys) & x["speaker"].isNotNull()

@@ -179,3 +179,12 @@ def test_flow_check_without_keywords(spark):
     got = {(r.task_no, r.keyword, r.text) for r in out.results.collect()}
     assert got == {("c1", "null", "k1 here"), ("c2", "null", "no"), ("c4", "null", "first"),
                    ("c5", "null", "k1")}
+
+
+def test_duplicate_json_keys_last_value_wins(spark):
+    """As with a JSON-to-dict parser, a repeated key keeps its last value and
+    counts once, so 8 distinct keys pass the guard."""
+    m = ('{"userName": "n", "userId": "u", "digest": "good", "content": "", "time": "0", "msgType": "text", '
+         '"userFaceUrl": "", "imuserid": "x", "digest": "bad good"}')
+    chats = chat_df(spark, [("d", "[" + m + "]", "u", "a")])
+    assert result(audit.chat_audit(chats, LEX, SCORER, cfg())) == {"d": ("bad good", 0.5)}
