@@ -1,10 +1,10 @@
 """Batch jobs, one per run of the reference's nightly schedule.
 
-    spark-submit -m convaudit.jobs chat   --chat P --lexicon P [--canned P] --models ROOT --out P [--date D]
-    spark-submit -m convaudit.jobs speech --speech P --lexicon P --models ROOT --out P [--date D]
-    spark-submit -m convaudit.jobs flow   --rules P --tickets P --calls P --out P [--date D --begin D --end D]
-    spark-submit -m convaudit.jobs integrate --results P --calls P --out P [--date D]
-    spark-submit -m convaudit.jobs train  --corpus P --models ROOT [--names lr,rf]
+    spark-submit --py-files convaudit.zip convaudit/jobs.py chat   --chat P --lexicon P [--canned P] --models ROOT --out P [--date D]
+    spark-submit --py-files convaudit.zip convaudit/jobs.py speech --speech P --lexicon P --models ROOT --out P [--date D]
+    spark-submit --py-files convaudit.zip convaudit/jobs.py flow   --rules P --tickets P --calls P --out P [--date D --begin D --end D]
+    spark-submit --py-files convaudit.zip convaudit/jobs.py integrate --results P --calls P --out P [--date D]
+    spark-submit --py-files convaudit.zip convaudit/jobs.py train  --corpus P --models ROOT [--names lr,rf]
 
 Inputs are parquet tables in the declared layouts (``convaudit.schemas``); the
 lexicon is a text file, one entry per line. Outputs are written once, partitioned
