@@ -1,11 +1,12 @@
 """Model evaluation as aggregates (A7, A8) and the labelled corpus.
 
-All metrics are computed in one distributed pass (plus, for the rank AUC, one
-range-partitioned pass); nothing is collected except the final one-row answer.
+All metrics are computed in distributed passes; nothing is collected except the
+final one-row answer (and, for the rank AUC, fewer than ``parts`` quantile cuts).
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,23 +51,33 @@ def auc_rank(df: DataFrame, score: str = "score", label: str = "label", parts: i
     rows rank below it, ``c`` rows in it), so
     ``AUC = (sum_pos(2 * rank) - P(P+1)) / (2PN)``.
 
-    ``b`` needs a global order, which is built without moving all rows into one
-    task: rows are first reduced to one per distinct score, range-partitioned by
-    score, prefix-summed inside each range, and offset by the totals of the
-    ranges before it (one row per range, so that part is bounded by ``parts``).
+    ``b`` needs a global order, built without moving all rows into one task:
+    rows are reduced to one per distinct score; the distinct scores are cut into
+    ``parts`` value ranges at approximate quantiles (fewer than ``parts``
+    numbers reach the driver and return to the plan as literals, so a
+    recomputed task puts every score in the same range); each range is
+    prefix-summed on its own and offset by the totals of the ranges below it
+    (one row per range, so that step is bounded by ``parts``).
     """
     spark = df.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label).cast("double")
-    g = df.where(F.col(score).isNotNull() & y.isin(0.0, 1.0)).groupBy(F.col(score).alias("_s")).agg(
+    g = df.where(F.col(score).isNotNull() & y.isin(0.0, 1.0)).groupBy(F.col(score).cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_c"), F.sum((y == 1.0).cast("long")).alias("_p"))
-    r = g.repartitionByRange(parts, "_s").withColumn("_part", F.spark_partition_id())
+    cuts = sorted(set(g.approxQuantile("_s", [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
+    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
+    def bucket(frame: DataFrame) -> DataFrame:
+        if len(splits) < 3:  # a single range
+            return frame.withColumn("_part", F.lit(0.0))
+        return Bucketizer(splits=splits, inputCol="_s", outputCol="_part", handleInvalid="keep").transform(frame)
+
+    r = bucket(g)
     inside = Window.partitionBy("_part").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_local", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-    tot = r.groupBy("_part").agg(F.sum("_c").alias("_tot"))
+    tot = bucket(g.select("_s", "_c")).groupBy("_part").agg(F.sum("_c").alias("_tot"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_part", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    r = r.join(F.broadcast(off), "_part")  # one row per range partition
+    r = r.join(F.broadcast(off), "_part")  # one row per value range (at most ``parts``)
     two_r = F.col("_p") * (F.lit(2) * (F.col("_off") + F.col("_local")) + F.col("_c") + F.lit(1))
     a = r.agg(F.sum("_p").alias("n_pos"), (F.sum("_c") - F.sum("_p")).alias("n_neg"), F.sum(two_r).alias("_2r"))
     p, n = F.col("n_pos"), F.col("n_neg")

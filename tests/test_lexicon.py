@@ -61,12 +61,13 @@ def test_rank_auc_equals_pairwise_count(spark):
     rnd = random.Random(7)
     rows = [(float(rnd.randint(0, 20)), float(rnd.random() < 0.4)) for _ in range(500)]
     df = spark.createDataFrame(rows, "score double, label double")
-    got = evaluate.auc_rank(df, parts=5).first()
     pos = [s for s, y in rows if y == 1.0]
     neg = [s for s, y in rows if y == 0.0]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
-    assert abs(got.auc - wins / (len(pos) * len(neg))) < 1e-12
-    assert got.n_pos == len(pos) and got.n_neg == len(neg)
+    for parts in (1, 5, 50):  # one range, several, more ranges than distinct scores
+        got = evaluate.auc_rank(df, parts=parts).first()
+        assert abs(got.auc - wins / (len(pos) * len(neg))) < 1e-12, parts
+        assert got.n_pos == len(pos) and got.n_neg == len(neg)
 
 
 def test_hard_auc_and_accuracy(spark):
