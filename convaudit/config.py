@@ -74,7 +74,7 @@ class FlowConfig:
     """Parameters of the ticket flow check.
 
     ``ticket_dates``: inclusive ``(first, last)`` day of tickets to check, or
-    ``None`` for every ticket. The reference checks one day (``flowcheck_date``),
+    ``None`` for every ticket. The reference checks one day (its check date),
     i.e. ``(d, d)``.
     ``call_dates``: inclusive window of call records (``begin_date``, ``end_date``),
     or ``None`` for all.

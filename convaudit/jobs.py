@@ -27,7 +27,7 @@ from convaudit.ml.score import ModelScorer
 from convaudit.ml.train import TrainConfig, fit_models
 from convaudit.operators import lexicon as lexops
 from convaudit.plans import audit, training
-from convaudit.plans.flowcheck import flow_check
+from convaudit.plans.ticket_flow import flow_check
 from convaudit.sources.sinks import write_partitioned
 from convaudit.sources.tables import day_scan
 

@@ -25,7 +25,7 @@ from convaudit.operators import lexicon as lexops
 from convaudit.operators.score import RatioScorer, blend, mean_of
 from convaudit.operators.select import argmax, argmax_window, choose, speaker_bests
 from convaudit.plans import audit, training
-from convaudit.plans import flowcheck as flowplan
+from convaudit.plans import ticket_flow as flowplan
 from convaudit.sources import fixtures as fx
 from convaudit.sources import tables
 

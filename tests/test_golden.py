@@ -12,7 +12,7 @@ from convaudit.functions.text import compare
 from convaudit.operators import parse
 from convaudit.operators.score import RatioScorer
 from convaudit.plans import audit
-from convaudit.plans.flowcheck import flow_check
+from convaudit.plans.ticket_flow import flow_check
 
 TS = dt.datetime(2024, 1, 15, 8, 0, 0)
 SCORER = RatioScorer(("bad",))
