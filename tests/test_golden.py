@@ -188,3 +188,10 @@ def test_duplicate_json_keys_last_value_wins(spark):
          '"userFaceUrl": "", "imuserid": "x", "digest": "bad good"}')
     chats = chat_df(spark, [("d", "[" + m + "]", "u", "a")])
     assert result(audit.chat_audit(chats, LEX, SCORER, cfg())) == {"d": ("bad good", 0.5)}
+
+
+def test_quotes_in_text_keep_the_row(spark):
+    """Quote characters broke the reference's string-built INSERT and lost the row."""
+    text = 'it\'s "bad" good'
+    chats = chat_df(spark, [("q", [msg("u", text)], "u", "a")])
+    assert result(audit.chat_audit(chats, LEX, SCORER, cfg())) == {"q": (text, 0.25)}
