@@ -62,7 +62,7 @@ class AuditConfig:
     han_mode: str = "char"
     max_inline_lexicon: int = 20000  # larger lexicons use the n-gram join path
     inline: bool = True               # pick the best sentence inside each record's row when possible
-    max_inline_canned: int = 100_000  # larger canned tables use the anti-join path
+    max_inline_canned: int = 10_000   # larger canned tables use the (broadcast) anti-join path
 
     @property
     def day(self) -> str:
