@@ -129,14 +129,20 @@ def speech_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """call_record rows: even conversations are chats (source 1), odd are calls (2)."""
+    """call_record rows: even conversations are chats (source 1), odd are calls (2).
+
+    One aggregate per conversation builds whichever JSON shape its source uses.
+    """
     c = table(spark, sf_dir, "conversations")
-    digests = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
-        F.col("turn"), F.coalesce(F.col("text"), F.lit("")).alias("digest")))).alias("ds")) \
-        .select("conv_id", F.to_json(F.transform("ds", lambda x: F.struct(x["digest"].alias("digest")))).alias("js1"))
-    both = digests.join(_speech_payload(c), "conv_id")
-    js = F.when(F.col("conv_id") % 2 == 0, F.col("js1")).otherwise(F.col("js")).alias("jsx")
-    return both.select("conv_id", js).select(
+    text = F.coalesce(F.col("text"), F.lit(""))
+    per = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("turn"), text.alias("text"), tokenize(text).alias("wordList")))).alias("ss"))
+    digests = F.to_json(F.transform("ss", lambda x: F.struct(x["text"].alias("digest"))))
+    sentences = F.to_json(F.struct(F.transform(
+        "ss", lambda x: F.struct(x["text"].alias("text"), x["wordList"].alias("wordList"))
+    ).alias("sentenceListData")))
+    js = per.select("conv_id", F.when(F.col("conv_id") % 2 == 0, digests).otherwise(sentences).alias("jsx"))
+    return js.select(
         F.lit(CALL_DATE).cast("date").alias("v_date"),
         F.when(F.col("conv_id") % 2 == 0, 1).otherwise(2).cast("int").alias("source"),
         F.col("conv_id").cast("string").alias("order_no"),
