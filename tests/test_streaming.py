@@ -24,3 +24,19 @@ def test_stream_equals_batch(spark, tmp_path):
     got = got.select(*want.columns)
     assert want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_speech_stream_equals_batch(spark, tmp_path):
+    from convaudit.streaming.audit_stream import stream_speech_audit
+
+    speech = fx.speech_json(spark, SF01)
+    src = str(tmp_path / "in")
+    speech.write.parquet(src)
+    cfg = AuditConfig(speech_threshold=fx.TEST_THRESHOLD)
+    scorer = RatioScorer(tuple(fx.TERMS))
+    q = stream_speech_audit(spark, src, str(tmp_path / "out"), str(tmp_path / "ckpt"), fx.TERMS, scorer, cfg)
+    q.awaitTermination(300)
+    want = audit.speech_audit(speech, fx.TERMS, scorer, cfg)
+    got = spark.read.parquet(str(tmp_path / "out")).select(*want.columns)
+    assert want.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
