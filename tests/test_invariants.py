@@ -112,3 +112,15 @@ def test_inline_audit_plan_has_no_shuffle(spark):
     out = audit.chat_audit(chats, fx.TERMS, RatioScorer(tuple(fx.TERMS)), AuditConfig(chat_threshold=0.02))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Aggregate" not in plan, plan
+
+
+def test_inline_speech_audit_plan_has_no_shuffle(spark):
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="speech-records-", dir=str(spark.conf.get("spark.checkpoint.dir")))
+    fx.speech_json(spark, SF01).write.mode("overwrite").parquet(path)
+    out = audit.speech_audit(spark.read.parquet(path), fx.TERMS, RatioScorer(tuple(fx.TERMS)),
+                             AuditConfig(speech_threshold=0.02))
+    assert out.count() > 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan, plan
