@@ -44,7 +44,7 @@ def inline_entries(lexicon, max_entries: int) -> list[str] | None:
     ``max_entries + 1`` rows are read) and fetched only within the bound.
     """
     if not isinstance(lexicon, DataFrame):
-        return list(lexicon)
+        return [e for e in lexicon if e is not None]
     col = lexicon.columns[0]
     small = lexicon.select(F.col(col).alias("entry")).where(F.col("entry").isNotNull()).distinct()
     rows = small.limit(max_entries + 1).collect()  # at most max_entries + 1 rows reach the driver
