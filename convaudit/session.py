@@ -35,11 +35,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we create one under the system temp folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only for a local master
+    (tests) is a folder created under the system temp folder when it is unset;
+    on a cluster an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(HDFS or object store); a machine-local folder would not survive executor loss")
         d = tempfile.mkdtemp(prefix="convaudit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
