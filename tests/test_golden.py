@@ -195,3 +195,13 @@ def test_quotes_in_text_keep_the_row(spark):
     text = 'it\'s "bad" good'
     chats = chat_df(spark, [("q", [msg("u", text)], "u", "a")])
     assert result(audit.chat_audit(chats, LEX, SCORER, cfg())) == {"q": (text, 0.25)}
+
+
+def test_chinese_text_with_phrase_lexicon(spark):
+    """Han text is tokenised per character; a multi-character entry matches the
+    joined tokens (substring mode), as entries span several segmenter tokens."""
+    chats = chat_df(spark, [("zh", [msg("u", "你们的服务太差了"), msg("u", "谢谢")], "u", "a")])
+    scorer = RatioScorer(("差",))
+    out = result(audit.chat_audit(chats, ["太差"], scorer, cfg()))
+    assert out == {"zh": ("你们的服务太差了", 0.125)}  # 8 character tokens, 1 hit
+    assert result(audit.chat_audit(chats, ["太差"], scorer, cfg(sensitive_mode="token"))) == {}
