@@ -2,17 +2,18 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from conftest import SF01
+from convaudit.oracle_queries import SQL
+from convaudit.registry import QUERIES
 from convaudit.testing import compare
 
-KEYS = sorted(oracle_sql())
+KEYS = sorted(SQL)
 
 
 def test_every_query_has_oracle_or_is_ml():
     ml = {"features_two_view", "lr_neg_prob", "rf_neg_prob", "gbt_neg_prob", "regress_score",
           "predict_label_lr", "ensemble_neg_prob", "model_report", "chat_audit_lr"}
-    assert set(queries()) - set(oracle_sql()) == ml
+    assert set(QUERIES) - set(SQL) == ml
 
 
 @pytest.mark.parametrize("name", KEYS)
