@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from convaudit.session import ensure_checkpoint_dir
 
@@ -39,7 +39,7 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
+def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType,
                rows: int = SLICE_ROWS) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` at most ``rows`` rows at a time."""
 
@@ -79,7 +79,3 @@ class Memo(dict):
             self.clear()
         self[key] = value
         return value
-
-
-def null_safe_text(col: str = "text"):
-    return F.coalesce(F.col(col), F.lit(""))

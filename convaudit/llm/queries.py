@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convaudit.llm.bpe import encode_decode
-from convaudit.llm.common import table
+from convaudit.llm.common import scratch, table
+from convaudit.llm.lines import dedup_units
 from convaudit.llm.packing import pack
+from convaudit.llm.quality import apply_rules
+from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
+from convaudit.llm.simhash import near_duplicates
 from convaudit.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +38,35 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = with_spans(docs, scan_versions(docs, scratch(spark, "secret-ledger")))
+    count = lambda rule: F.size(F.filter("spans", lambda s: s.rule == rule)).cast("long").alias(f"n_{rule}")
+    base = F.filter("spans", lambda s: s.rule.isin(*BASE))
+    return out.select("doc_id", *[count(r) for r in BASE], F.sha2(spans_text(base), 256).alias("base_sha256"),
+                      spans_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("removed", lambda s: F.concat_ws(":", s.start, s.end)), ",")
+    return out.select("doc_id", "text", "n_units", "n_removed", spans.alias("removed"))
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
