@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from convaudit.llm.bpe import encode_decode
 from convaudit.llm.common import scratch, table
+from convaudit.llm.embeddings import near_vectors
 from convaudit.llm.lines import dedup_units
 from convaudit.llm.packing import pack
 from convaudit.llm.quality import apply_rules
 from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
 from convaudit.llm.simhash import near_duplicates
+from convaudit.llm.warc import read_archives, write_archives
 from convaudit.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +62,20 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       spans_text(F.col("spans")).alias("spans"))
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "archives")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    out = read_archives(spark, path, payloads=False).where("error is null")
+    return out.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_units(table(spark, sf_dir, "documents").select("doc_id", "text"))
