@@ -16,6 +16,7 @@ from convaudit.llm.packing import pack
 from convaudit.llm.quality import apply_rules
 from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
 from convaudit.llm.simhash import near_duplicates
+from convaudit.llm.toxicity import fit, with_scores
 from convaudit.llm.warc import read_archives, write_archives
 from convaudit.llm.wordpiece import token_counts
 
@@ -35,6 +36,27 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def held_out(key: str = "doc_id"):
+    """Rows that no label is learned from."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str):
+    """A model learned from the labelled documents that aren't held out."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return fit(docs.where(~held_out()).join(labels, "doc_id"), "toxic")
+
+
+#: A text at or above this score is predicted toxic.
+TOXIC = 0.3
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = with_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), toxicity_model(spark, sf_dir))
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
