@@ -1,17 +1,17 @@
 """Model evaluation as aggregates (A7, A8) and the labelled corpus.
 
-All metrics are computed in distributed passes; nothing is collected except the
-final one-row answer (and, for the rank AUC, fewer than ``parts`` quantile cuts).
+All metrics are computed in distributed passes; nothing is collected.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 POS_TAG = "POS"
 NEG_TAG = "NEG"
+#: For counts that are multiplied: products of two stay within 38 digits.
+WHOLE = "decimal(18,0)"
 
 
 def hard_label(pred: Column, cut: float = 0.5) -> Column:
@@ -38,50 +38,47 @@ def auc_hard(df: DataFrame, pred: str = "prediction", label: str = "label") -> D
         F.sum((y == 1.0).cast("long")).alias("n_pos"), F.sum((y == 0.0).cast("long")).alias("n_neg"),
         F.sum(((h == 1.0) & (y == 1.0)).cast("long")).alias("tp"),
         F.sum(((h == 1.0) & (y == 0.0)).cast("long")).alias("fp"))
-    p, n = F.col("n_pos"), F.col("n_neg")
-    num = p * n + F.col("tp") * n - F.col("fp") * p
+    p, n, tp, fp = (F.col(c).cast(WHOLE) for c in ("n_pos", "n_neg", "tp", "fp"))
+    num = p * n + tp * n - fp * p
     return a.select("n_pos", "n_neg", "tp", "fp",
                     F.when((p > 0) & (n > 0), num.cast("double") / (p * n * 2).cast("double")).alias("auc"))
 
 
-def auc_rank(df: DataFrame, score: str = "score", label: str = "label", parts: int | None = None) -> DataFrame:
-    """ROC area of a continuous score (A8), Mann-Whitney form, mean ranks on ties.
+def auc_rank(df: DataFrame, score: str = "score", label: str = "label", parts: int | None = None,
+             by: str | None = None) -> DataFrame:
+    """ROC area of a continuous score (A8), Mann-Whitney form, mean ranks on ties; one row, or one per ``by``.
 
     Exact with integers: twice a tie group's mean rank is ``2b + c + 1`` (``b``
     rows rank below it, ``c`` rows in it), so
-    ``AUC = (sum_pos(2 * rank) - P(P+1)) / (2PN)``.
-
-    ``b`` needs a global order, built without moving all rows into one task:
-    rows are reduced to one per distinct score; the distinct scores are cut into
-    ``parts`` value ranges at approximate quantiles (fewer than ``parts``
-    numbers reach the driver and return to the plan as literals, so a
-    recomputed task puts every score in the same range); each range is
-    prefix-summed on its own and offset by the totals of the ranges below it
-    (one row per range, so that step is bounded by ``parts``).
+    ``AUC = (sum_pos(2 * rank) - P(P+1)) / (2PN)``. Products are decimals of 38 digits.
+
+    ``b`` needs a global order, built without moving all rows into one task: rows are
+    reduced to one per distinct score; these are cut into ``parts`` value ranges at
+    approximate quantiles, an aggregate of fixed size that is broadcast to its own
+    input; each range is prefix-summed on its own and offset by the totals of the
+    ranges below it (one row per range). Nothing runs while the plan is built.
     """
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label).cast("double")
-    g = df.where(F.col(score).isNotNull() & y.isin(0.0, 1.0)).groupBy(F.col(score).cast("double").alias("_s")).agg(
+    ok = df.where(F.col(score).isNotNull() & y.isin(0.0, 1.0))
+    # a key that the optimizer doesn't fold keeps the joins below equi-joins
+    key = F.col(by) if by else (y * 0).cast("int")
+    g = ok.groupBy(key.alias("_k"), F.col(score).cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_c"), F.sum((y == 1.0).cast("long")).alias("_p"))
-    cuts = sorted(set(g.approxQuantile("_s", [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
-    splits = [float("-inf")] + [c for c in cuts if c not in (float("-inf"), float("inf"))] + [float("inf")]
-    def bucket(frame: DataFrame) -> DataFrame:
-        if len(splits) < 3:  # a single range
-            return frame.withColumn("_part", F.lit(0.0))
-        return Bucketizer(splits=splits, inputCol="_s", outputCol="_part", handleInvalid="keep").transform(frame)
-
-    r = bucket(g)
-    inside = Window.partitionBy("_part").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = g.groupBy("_k").agg(F.percentile_approx("_s", [i / parts for i in range(1, max(parts, 2))], 1000).alias("_cuts"))
+    r = g.join(F.broadcast(cuts), "_k").select(  # one row per key
+        "_k", "_s", "_c", "_p", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_part"))
+    tot = r.groupBy("_k", "_part").agg(F.sum("_c").alias("_tot"))
+    before = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_k", "_part", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_k", "_part").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     r = r.withColumn("_local", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
-    tot = bucket(g.select("_s", "_c")).groupBy("_part").agg(F.sum("_c").alias("_tot"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_part", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    r = r.join(F.broadcast(off), "_part")  # one row per value range (at most ``parts``)
-    two_r = F.col("_p") * (F.lit(2) * (F.col("_off") + F.col("_local")) + F.col("_c") + F.lit(1))
-    a = r.agg(F.sum("_p").alias("n_pos"), (F.sum("_c") - F.sum("_p")).alias("n_neg"), F.sum(two_r).alias("_2r"))
-    p, n = F.col("n_pos"), F.col("n_neg")
-    return a.select(p.cast("long").alias("n_pos"), n.cast("long").alias("n_neg"),
+    r = r.join(F.broadcast(off), ["_k", "_part"])  # one row per value range (at most ``parts`` for a key)
+    two_r = F.col("_p").cast(WHOLE) * (F.lit(2) * (F.col("_off") + F.col("_local")) + F.col("_c") + F.lit(1)).cast(WHOLE)
+    grouped = r.groupBy(F.col("_k").alias(by)) if by else r
+    a = grouped.agg(F.sum("_p").alias("n_pos"), (F.sum("_c") - F.sum("_p")).alias("n_neg"), F.sum(two_r).alias("_2r"))
+    p, n = F.col("n_pos").cast(WHOLE), F.col("n_neg").cast(WHOLE)
+    return a.select(*([by] if by else []), F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"),
                     F.when((p > 0) & (n > 0), (F.col("_2r") - p * (p + 1)).cast("double")
                            / (p * n * 2).cast("double")).alias("auc"))
 
