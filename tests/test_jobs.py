@@ -7,7 +7,7 @@ from convaudit.ml.train import TrainConfig
 from convaudit.sources import fixtures as fx
 from conftest import SF001
 
-SMALL = TrainConfig(features=FeatureConfig(num_features=1 << 10, vector_size=8), lr_max_iter=20, trees=5, depth=3)
+SMALL = TrainConfig(features=FeatureConfig(vector_size=64), lr_max_iter=20, trees=5, depth=3)
 
 
 def test_jobs_end_to_end(spark, tmp_path):
@@ -15,7 +15,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     fx.chat_json(spark, SF001).write.parquet(f"{d}/chat")
     fx.speech_json(spark, SF001).write.parquet(f"{d}/speech")
     fx.canned(spark, SF001).write.parquet(f"{d}/canned")
-    fx.rules(spark).write.parquet(f"{d}/rules")
+    fx.rules(spark, SF001).write.parquet(f"{d}/rules")
     fx.tickets(spark, SF001).write.parquet(f"{d}/tickets")
     fx.calls(spark, SF001).write.parquet(f"{d}/calls")
     fx.labelled(spark, SF001).write.parquet(f"{d}/corpus")
@@ -39,6 +39,14 @@ def test_jobs_end_to_end(spark, tmp_path):
     joined = jobs.run_integrate(spark, f"{d}/results", f"{d}/calls", f"{d}/serving", fx.CALL_DATE)
     assert spark.read.parquet(f"{d}/serving").count() == joined.count() == stored.count()
 
+    # the daily job is the three audits' jobs in one, and a rerun replaces the day
+    again = jobs.run_daily(spark, f"{d}/chat", f"{d}/speech", f"{d}/calls", f"{d}/lexicon.txt", f"{d}/models", f"{d}/results2",
+                           f"{d}/serving2", ["lr"], cfg, f"{d}/canned")
+    n = again.count()
+    jobs.run_daily(spark, f"{d}/chat", f"{d}/speech", f"{d}/calls", f"{d}/lexicon.txt", f"{d}/models", f"{d}/results2",
+                   f"{d}/serving2", ["lr"], cfg, f"{d}/canned")
+    assert spark.read.parquet(f"{d}/serving2").count() == n > 0
+
 
 def test_cli_parses_reference_style_runs():
     p = jobs._parser()
