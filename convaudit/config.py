@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference job's defaults.
@@ -20,8 +20,6 @@ SOURCE_CHAT = 1
 SOURCE_SPEECH = 2
 NO_KEYWORD = "null"             # keyword written when keyword filtering is off
 VECTOR_SIZE = 400               # per embedding view
-EMBEDDING_ITERS = 3000
-EMBEDDING_WINDOW = 10
 LR_MAX_ITER = 5000
 FOREST_TREES = 300
 FOREST_DEPTH = 50               # Spark caps tree depth at 30; see ml.train
@@ -33,6 +31,10 @@ def yesterday() -> str:
     return (_dt.date.today() - _dt.timedelta(days=1)).isoformat()
 
 
+def days_ago(n: int) -> str:
+    return (_dt.date.today() - _dt.timedelta(days=n)).isoformat()
+
+
 def today() -> str:
     return _dt.date.today().isoformat()
 
@@ -78,15 +80,17 @@ class FlowConfig:
     i.e. ``(d, d)``.
     ``call_dates``: inclusive window of call records (``begin_date``, ``end_date``),
     or ``None`` for all.
+    ``check_date``: the day the run checks; it names the run's output and, where call
+    records carry a compute date, restricts them to it.
     """
 
     ticket_dates: tuple[str, str] | None = None
     call_dates: tuple[str, str] | None = None
     is_keyword: bool = True
-    max_broadcast_rules: int = 100_000
-    extra: dict = field(default_factory=dict)
+    max_broadcast_bytes: int = 64 << 20
+    check_date: str | None = None
 
     @staticmethod
     def for_day(day: str | None = None, begin: str | None = None, end: str | None = None) -> "FlowConfig":
         d = day or yesterday()
-        return FlowConfig(ticket_dates=(d, d), call_dates=(begin or d, end or today()))
+        return FlowConfig(ticket_dates=(d, d), call_dates=(begin or d, end or today()), check_date=d)

@@ -21,12 +21,15 @@ from pyspark.sql import functions as F
 
 def minimal_entries(entries: Iterable[str]) -> list[str]:
     """Entries that contain no other entry; they alone decide containment."""
-    uniq = sorted(set(entries), key=lambda s: (len(s), s))
-    kept: list[str] = []
-    for e in uniq:
-        if not any(k in e for k in kept):
-            kept.append(e)
-    return kept
+    every = set(entries)
+    if "" in every:
+        return [""]
+    sizes = sorted({len(e) for e in every})
+
+    def holds_another(e: str) -> bool:
+        return any(e[i:i + n] in every for n in sizes if n < len(e) for i in range(len(e) - n + 1))
+
+    return sorted((e for e in every if not holds_another(e)), key=lambda s: (len(s), s))
 
 
 def _trie(words: Sequence[str]) -> dict:
@@ -88,7 +91,9 @@ def sensitive(tokens: Column, entries: Sequence[str], mode: str = "substring") -
     ``substring``: an entry occurs in the tokens joined without separator
     (entries are phrases that span several segmenter tokens).
     ``token``: an entry equals a token.
+    Tokens are lower case, so entries are folded to it.
     """
+    entries = [e.lower() for e in entries if e is not None]
     if mode == "substring":
         return contains_any(F.concat_ws("", tokens), entries)
     if mode == "token":

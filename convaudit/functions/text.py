@@ -55,6 +55,10 @@ def clean_tokens(tokens: Column | str, filter_chars: str = FILTER_CHARS) -> Colu
     return F.filter(_c(tokens), lambda t: F.translate(t, filter_chars, "") != F.lit(""))
 
 
+def lower_all(tokens: Column | str) -> Column:
+    return F.transform(_c(tokens), F.lower)
+
+
 def term_hits(tokens: Column | str, terms: Sequence[str]) -> Column:
     """Number of tokens equal to one of ``terms`` (a small fixed list)."""
     arr = F.array(*[F.lit(t) for t in terms])

@@ -3,16 +3,18 @@
 Plan shape (one Spark job, no driver round trips):
 
 * rules are parsed and de-duplicated (last valid row per type wins) and, being a
-  bounded configuration table, broadcast (size checked);
-* tickets are filtered by date and rule type, tagged with pass/fail against
-  their type's threshold, then aggregated once per order: the order's type is
-  the last ticket's type (over *all* scanned tickets, as in the reference) and
-  the order passes when any of its tickets does;
-* call records join that per-order table on ``order_no`` (one shuffle join,
-  both sides hash-partitioned on the key; the per-order aggregate's exchange is
-  reused), pick up their keywords from the broadcast rules, and find the first
-  matching sentence *inside the row* with higher-order functions, so the call
-  texts are never exploded or shuffled.
+  bounded configuration table, broadcast (bytes checked);
+* tickets are filtered by date and rule type, rows that don't parse are skipped,
+  the others tagged with pass/fail against their type's threshold, then aggregated
+  once per order: the order's type is the last ticket's type (over *all* scanned
+  valid tickets, as in the reference) and the order passes when any of its tickets
+  does;
+* call records join that per-order table on ``order_no`` and a salt: the few bytes
+  of an order stand ``SALTS`` times, and its calls are dealt over as many tasks, so
+  an order with a third of all calls isn't one task's work. The order's summary
+  rides along, so it isn't joined a second time. Calls pick up their keywords from
+  the broadcast rules and find the first matching sentence *inside the row* with
+  higher-order functions, so the call texts are never exploded.
 """
 
 from __future__ import annotations
@@ -23,27 +25,38 @@ from pyspark.sql import functions as F
 from convaudit.config import NO_KEYWORD
 from convaudit.functions.lexicon import first_contained
 from convaudit.operators.parse import call_texts
-from convaudit.operators.util import is_bounded, maybe_broadcast, present
+from convaudit.operators.util import BROADCAST_BYTES, is_bounded, maybe_broadcast, present
 
 
 def parse_rules(rules: DataFrame, order_col: str = "rule_id") -> DataFrame:
     """Rule table -> one row per question type.
 
-    Rows whose threshold is not a number are skipped; among the rest the last
-    row (by ``order_col``) of each type wins. Keywords split on ``#``: an empty
-    text gives ``['']``, and ``''`` is contained in every text.
+    Rows whose threshold is not a number, or without keywords (null) or a type, are
+    skipped; among the rest the last row (by ``order_col``) of each type wins.
+    Keywords split on ``#``: an empty text gives ``['']``, and ``''`` is contained in
+    every text.
     """
     ok = rules.select(
         order_col, "question_type",
         F.col("caller_threshold").try_cast("double").alias("threshold"),
-        F.split(F.coalesce(F.col("key_words"), F.lit("")), "#").alias("keywords"),
-    ).where(F.col("threshold").isNotNull() & F.col("question_type").isNotNull())
+        F.split("key_words", "#").alias("keywords"),
+    ).where(F.col("threshold").isNotNull() & F.col("question_type").isNotNull() & F.col("keywords").isNotNull())
     last = ok.groupBy("question_type").agg(
         F.max(F.struct(order_col, "threshold", "keywords")).alias("_r"))
     return last.select("question_type", F.col("_r.threshold").alias("threshold"),
                        F.col("_r.keywords").alias("keywords"))
 
 
+#: Tasks that the calls of one order are dealt over.
+SALTS = 16
+
+
+def whole_number(c: Column) -> Column:
+    """An int from an int or a text of digits with an optional sign; anything else is null."""
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+
+
 def _between(c: Column, dates: tuple[str, str] | None) -> Column:
     if dates is None:
         return F.lit(True)
@@ -51,9 +64,9 @@ def _between(c: Column, dates: tuple[str, str] | None) -> Column:
     return (c >= F.lit(lo).cast("date")) & (c <= F.lit(hi).cast("date"))
 
 
-def rules_are_small(rules_p: DataFrame, max_rules: int = 100_000) -> bool:
-    """Whether the parsed rule table may be broadcast (checked once per plan)."""
-    return is_bounded(rules_p, max_rules)
+def rules_are_small(rules_p: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rule table's bytes allow a broadcast (checked once per plan)."""
+    return is_bounded(rules_p, max_bytes)
 
 
 def scan_tickets(tickets: DataFrame, rules_p: DataFrame, dates: tuple[str, str] | None = None,
@@ -72,10 +85,11 @@ def ticket_thresholds(tickets_s: DataFrame, rules_p: DataFrame, small_rules: boo
     """Each scanned ticket with its type's threshold and pass flag."""
     small = rules_are_small(rules_p) if small_rules is None else small_rules
     r = maybe_broadcast(rules_p.select(F.col("question_type").alias("problem_config_no_3"), "threshold"), small)
-    t = tickets_s.join(r, "problem_config_no_3")
-    # a null caller count fails the test but still counts for the order's type
-    return t.withColumn("passes", F.coalesce(F.col("caller_num").cast("double") >= F.col("threshold"),
-                                             F.lit(False)))
+    # rows that don't parse are skipped before anything is learned from them
+    t = tickets_s.withColumn("caller_num", whole_number(F.col("caller_num"))).where(
+        F.col("caller_num").isNotNull() & F.col("v_date").isNotNull())
+    t = t.join(r, "problem_config_no_3")
+    return t.withColumn("passes", F.col("caller_num").cast("double") >= F.col("threshold"))
 
 
 def order_info(tickets_t: DataFrame) -> DataFrame:
@@ -96,14 +110,25 @@ def order_info(tickets_t: DataFrame) -> DataFrame:
                     F.col("n_passing").cast("long").alias("n_passing"), "max_caller_num")
 
 
-def scan_calls(calls: DataFrame, orders: DataFrame, dates: tuple[str, str] | None = None) -> DataFrame:
+ORDER_COLUMNS = ["question_type", "n_tickets", "n_passing", "max_caller_num"]
+
+
+def scan_calls(calls: DataFrame, orders: DataFrame, dates: tuple[str, str] | None = None,
+               check_date: str | None = None, check_col: str = "compute_date") -> DataFrame:
     """Call records of the window that belong to a passing order.
 
-    Joined (not semi-joined) so the order's type rides along for the keyword
-    lookup without a second join on the same key.
+    Joined (not semi-joined) so the order's type and ticket summary ride along. Calls
+    are salted by a hash of the row's id and the orders repeated for each salt.
+    ``check_date`` keeps the records computed for that date; it applies to tables
+    that carry ``check_col``.
     """
-    o = orders.where(F.col("passes")).select("order_no", "question_type")
-    return calls.where(_between(F.col("v_date"), dates)).join(o, "order_no")
+    c = calls.where(_between(F.col("v_date"), dates))
+    if check_date is not None and check_col in calls.columns:
+        c = c.where(F.col(check_col) == F.lit(check_date).cast("date"))
+    o = orders.where(F.col("passes")).select("order_no", *ORDER_COLUMNS)
+    o = o.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("task_no", "result"), F.lit(SALTS)).cast("int")
+    return c.withColumn("_salt", salt).join(o, ["order_no", "_salt"]).drop("_salt")
 
 
 def attach_keywords(calls_t: DataFrame, rules_p: DataFrame, small_rules: bool | None = None) -> DataFrame:
@@ -133,19 +158,14 @@ def first_hit(texts: Column, keywords: Column | None) -> Column:
 
 
 def flow_results(calls_k: DataFrame, is_keyword: bool = True) -> DataFrame:
-    """One row per call record with a hit: v_date, source, order_no, task_no, keyword, text."""
+    """One row per call record with a hit: v_date, source, order_no, task_no, keyword, text, and the order's summary."""
     texts = call_texts(F.col("result"), F.col("source"))
     hit = first_hit(texts, F.col("keywords") if is_keyword else None)
-    r = calls_k.select("v_date", "source", "order_no", "task_no", present(hit).alias("_h"))
+    r = calls_k.select("v_date", "source", "order_no", "task_no", *ORDER_COLUMNS, present(hit).alias("_h"))
     return r.select(F.date_format("v_date", "yyyy-MM-dd").alias("v_date"), F.col("source").cast("int").alias("source"),
-                    "order_no", "task_no", F.col("_h.keyword").alias("keyword"), F.col("_h.text").alias("text"))
+                    "order_no", "task_no", F.col("_h.keyword").alias("keyword"), F.col("_h.text").alias("text"), *ORDER_COLUMNS)
 
 
-def flow_summary(results: DataFrame, orders: DataFrame) -> DataFrame:
-    """Flow results with their order's ticket summary (J8): one row per result.
-
-    The order side is already one row per order, so the join never fans out,
-    however many tickets or calls an order has.
-    """
-    o = orders.select("order_no", "question_type", "n_tickets", "n_passing", "max_caller_num")
-    return results.join(o, "order_no", "left")
+def flow_rows(results: DataFrame) -> DataFrame:
+    """The declared flow_result columns."""
+    return results.drop(*ORDER_COLUMNS)

@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convaudit.operators.util import bounded_broadcast
+
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """A word-list file, one entry per line, as a one-column table ``entry``.
@@ -53,32 +55,44 @@ def inline_entries(lexicon, max_entries: int) -> list[str] | None:
     return [r.entry for r in rows]
 
 
-def semi_join_lexicon(df: DataFrame, lexicon: DataFrame, keys: Sequence[str], mode: str = "substring",
-                      tokens: str = "tokens") -> DataFrame:
-    """Rows of ``df`` (identified by ``keys``) whose tokens hit a large lexicon."""
-    lex = lexicon.select(F.col(lexicon.columns[0]).alias("_e")).where(F.col("_e").isNotNull()).distinct()
+def _entries(lexicon: DataFrame) -> DataFrame:
+    """The entries to join with: no distinct, since a semi join needs none and a plain
+    exchange lets a frequent value be split; broadcast when their bytes allow."""
+    return bounded_broadcast(lexicon.select(F.col(lexicon.columns[0]).alias("_e")).where(F.col("_e").isNotNull()))
+
+
+def semi_join_lexicon(df: DataFrame, lexicon: DataFrame, mode: str = "substring", tokens: str = "tokens") -> DataFrame:
+    """Rows of ``df`` whose tokens hit a large lexicon.
+
+    Whether a sentence is hit depends on its tokens alone, so equal token lists are
+    looked up once and joined back on two hashes of the list: no record key takes
+    part, hence null or shared keys can't mix records up.
+    """
+    rows = df.withColumns({"_t1": F.xxhash64(tokens), "_t2": F.xxhash64(F.lit("tokens"), tokens)})
+    each = rows.select("_t1", "_t2", F.col(tokens).alias("_tokens")).dropDuplicates(["_t1", "_t2"])
+    lex = _entries(lexicon)
     if mode == "token":
-        probe = df.select(*keys, F.explode(tokens).alias("_e"))
+        probe = each.select("_t1", "_t2", F.explode(F.array_distinct("_tokens")).alias("_e"))
     elif mode == "substring":
-        lens = [r[0] for r in lex.select(F.length("_e").alias("n")).distinct().collect()]
+        lens = [r[0] for r in lex.select(F.length("_e").alias("n")).distinct().collect()]  # distinct lengths only
         if 0 in lens:  # the empty entry is contained in every text
             return df
-        joined = F.concat_ws("", F.col(tokens))
+        joined = F.concat_ws("", F.col("_tokens"))
 
         def grams(n: int):
             # one-argument lambda: a second parameter would be bound to the element index
             return F.transform(F.sequence(F.lit(1), F.greatest(F.length(joined) - n + 1, F.lit(0))),
                                lambda i: F.substring(joined, i, F.lit(n)))
 
-        subs = F.flatten(F.array(*[grams(n) for n in sorted(lens)]))
-        probe = df.select(*keys, F.explode(subs).alias("_e")).where(F.length("_e") > 0)
+        subs = F.array_distinct(F.flatten(F.array(*[grams(n) for n in sorted(lens)])))
+        probe = each.select("_t1", "_t2", F.explode(subs).alias("_e")).where(F.length("_e") > 0)
     else:
         raise ValueError(f"unknown sensitive mode {mode!r}")
-    hits = probe.join(lex, "_e", "left_semi").select(*keys).distinct()
-    return df.join(hits, list(keys), "left_semi")
+    hits = probe.join(lex, "_e", "left_semi").select("_t1", "_t2").distinct()
+    return rows.join(hits, ["_t1", "_t2"], "left_semi").drop("_t1", "_t2")
 
 
 def token_hits(df: DataFrame, lexicon: DataFrame, keys: Sequence[str], tokens: str = "tokens") -> DataFrame:
     """Keys of rows with a token equal to an entry (explode + semi join)."""
-    lex = lexicon.select(F.col(lexicon.columns[0]).alias("_e")).distinct()
-    return df.select(*keys, F.explode(tokens).alias("_e")).join(lex, "_e", "left_semi").select(*keys).distinct()
+    probe = df.select(*keys, F.explode(F.array_distinct(tokens)).alias("_e"))
+    return probe.join(_entries(lexicon), "_e", "left_semi").select(*keys).distinct()

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 from convaudit import schemas
 from convaudit.config import CHAT_MESSAGE_KEYS, SOURCE_CHAT, SOURCE_SPEECH, SPEECH_MIN_WORDS
-from convaudit.operators.util import bounded_broadcast
+from convaudit.operators.util import BROADCAST_BYTES, bounded_broadcast
 
 CHAT_KEYS = ["create_time", "session_id", "user_id", "agent_id"]
 SPEECH_KEYS = ["v_date", "task_no", "order_no", "score_qingxu"]
+PAYLOAD_HASH = ["payload_h1", "payload_h2"]
+
+
+def with_payload_hash(df: DataFrame, payload: str) -> DataFrame:
+    """Two hashes of the record's JSON text: with the record's own columns they
+    identify it, also where its key is null or shared."""
+    return df.withColumns({"payload_h1": F.xxhash64(payload), "payload_h2": F.xxhash64(F.lit("record"), payload)})
 
 
 # -- chat ------------------------------------------------------------------
@@ -43,9 +50,10 @@ def chat_messages(chat: DataFrame) -> DataFrame:
     Columns: record keys, ``pos``, ``n_keys``, ``user_key`` (the message's
     ``userId``), ``digest``.
     """
-    p = parse_chat(chat)
-    return p.select(*CHAT_KEYS, F.posexplode("msgs").alias("pos", "m")).select(
-        *CHAT_KEYS, "pos",
+    p = parse_chat(with_payload_hash(chat, "chat_records"))
+    keys = CHAT_KEYS + PAYLOAD_HASH
+    return p.select(*keys, F.posexplode("msgs").alias("pos", "m")).select(
+        *keys, "pos",
         n_keys(F.col("m")).alias("n_keys"),
         field(F.col("m"), "userId").alias("user_key"),
         field(F.col("m"), "digest").alias("digest"),
@@ -70,13 +78,14 @@ def split_speakers(msgs: DataFrame) -> DataFrame:
 
 
 def drop_canned(msgs: DataFrame, canned: DataFrame, text_col: str = "digest",
-                max_broadcast: int = 1_000_000) -> DataFrame:
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Remove canned sentences: exact match of the trimmed text.
 
-    ``canned`` has one column ``sentence``. It is a configuration table; it is
-    broadcast only when its row count is within ``max_broadcast``.
+    ``canned`` has one column ``sentence``. It is broadcast only when its bytes are
+    within ``max_bytes``. An anti join needs no distinct right side, and without
+    one both sides are plain exchanges, so a frequent sentence can be split.
     """
-    c = bounded_broadcast(canned.select(F.col("sentence").alias("_canned")).distinct(), max_broadcast)
+    c = bounded_broadcast(canned.select(F.col("sentence").alias("_canned")), max_bytes)
     return msgs.join(c, F.trim(F.col(text_col)) == F.col("_canned"), "left_anti")
 
 
@@ -95,9 +104,10 @@ def parse_speech(speech: DataFrame) -> DataFrame:
 
 def speech_sentences(speech: DataFrame) -> DataFrame:
     """One row per recognised sentence (P5): ``pos``, ``text``, ``words``."""
-    p = parse_speech(speech)
-    return p.select(*SPEECH_KEYS, F.posexplode("payload.sentenceListData").alias("pos", "s")).select(
-        *SPEECH_KEYS, "pos",
+    p = parse_speech(with_payload_hash(speech, "result"))
+    keys = SPEECH_KEYS + PAYLOAD_HASH
+    return p.select(*keys, F.posexplode("payload.sentenceListData").alias("pos", "s")).select(
+        *keys, "pos",
         F.col("s.text").alias("text"),
         F.col("s.wordList").alias("words"),
     )
@@ -133,32 +143,41 @@ def _reason(text: Column) -> Column:
     return F.when(F.try_parse_json(text).isNull(), F.lit("bad_json")).otherwise(F.lit("bad_shape"))
 
 
+def _lacks(array: Column, field_of) -> Column:
+    """True where an element of the array has no value for the field."""
+    return F.coalesce(F.exists(array, lambda x: x.isNull() | field_of(x).isNull()), F.lit(False))
+
+
 def quarantine(chat: DataFrame | None = None, speech: DataFrame | None = None,
-               calls: DataFrame | None = None) -> DataFrame:
-    """Records whose JSON payload can't be used, with the reason.
+               calls: DataFrame | None = None, message_keys: int = CHAT_MESSAGE_KEYS) -> DataFrame:
+    """Records whose payload can't be used in full, with the reason.
 
     ``bad_json``: the text is not valid JSON; ``bad_shape``: valid JSON of
-    another shape (e.g. a speech object without ``sentenceListData``). Empty but
-    well-formed payloads are not errors (the reference skips them silently).
+    another shape (e.g. a speech object without ``sentenceListData``);
+    ``missing_field``: a full-width chat message without ``userId`` or ``digest``, or
+    a speech sentence without ``wordList``; ``null_emotion``: a speech record
+    without its emotion score. Empty but well-formed payloads are not errors (the
+    reference skips them silently). One row per record.
     """
     parts = []
     if chat is not None:
-        p = parse_chat(chat)
-        parts.append(p.where(F.col("msgs").isNull() & F.col("chat_records").isNotNull()).select(
-            F.lit("chat").alias("kind"), F.col("session_id").alias("record_id"),
-            _reason(F.col("chat_records")).alias("reason")))
+        p = parse_chat(chat).where(F.col("chat_records").isNotNull())
+        full = F.filter("msgs", lambda m: n_keys(m) == message_keys)
+        lacks = _lacks(full, lambda m: field(m, "userId")) | _lacks(full, lambda m: field(m, "digest"))
+        reason = F.when(F.col("msgs").isNull(), _reason(F.col("chat_records"))).when(lacks, F.lit("missing_field"))
+        parts.append(p.select(F.lit("chat").alias("kind"), F.col("session_id").alias("record_id"), reason.alias("reason")))
     if speech is not None:
-        p = parse_speech(speech)
-        parts.append(p.where(F.col("payload.sentenceListData").isNull() & F.col("result").isNotNull()).select(
-            F.lit("speech").alias("kind"), F.col("task_no").alias("record_id"),
-            _reason(F.col("result")).alias("reason")))
+        p = parse_speech(speech).where(F.col("result").isNotNull())
+        sents = F.col("payload.sentenceListData")
+        reason = (F.when(sents.isNull(), _reason(F.col("result")))
+                  .when(_lacks(sents, lambda s: s["wordList"]), F.lit("missing_field"))
+                  .when(F.col("score_qingxu").isNull(), F.lit("null_emotion")))
+        parts.append(p.select(F.lit("speech").alias("kind"), F.col("task_no").alias("record_id"), reason.alias("reason")))
     if calls is not None:
-        parts.append(calls.where(call_texts(F.col("result"), F.col("source")).isNull()
-                                 & F.col("source").isin(SOURCE_CHAT, SOURCE_SPEECH)
-                                 & F.col("result").isNotNull()).select(
-            F.lit("call").alias("kind"), F.col("task_no").alias("record_id"),
-            _reason(F.col("result")).alias("reason")))
+        c = calls.where(F.col("source").isin(SOURCE_CHAT, SOURCE_SPEECH) & F.col("result").isNotNull())
+        reason = F.when(call_texts(F.col("result"), F.col("source")).isNull(), _reason(F.col("result")))
+        parts.append(c.select(F.lit("call").alias("kind"), F.col("task_no").alias("record_id"), reason.alias("reason")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out.where(F.col("reason").isNotNull())

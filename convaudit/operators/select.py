@@ -58,6 +58,33 @@ def speaker_bests(df: DataFrame, keys: Sequence[str], score: str = "score", pos:
     )
 
 
+def record_bests(df: DataFrame, keys: Sequence[str], score: str = "score", pos: str = "pos",
+                 text: str = "text", speaker: str | None = None) -> DataFrame:
+    """The best sentence(s) of every input record, one row per record.
+
+    ``keys`` identify a record's content; records equal in all of them can't be told
+    apart, so their sentences come in equal copies. The copies of the winning
+    sentence are counted and the result row repeated that often. With ``speaker``
+    the columns are ``u`` and ``a``, else ``best``; each is
+    ``struct(score, neg_pos, text, copies)`` or null.
+
+    Rows are dealt by ``keys`` once; both aggregates use that partitioning.
+    """
+    who = [speaker] if speaker else []
+    each = df.repartition(*keys).groupBy(*keys, *who, pos).agg(
+        F.max(F.struct(F.col(score).alias("score"), F.col(text).alias("text"))).alias("_v"),
+        F.count(F.lit(1)).alias("_n"))
+    b = F.struct(F.col("_v.score").alias("score"), (-F.col(pos)).alias("neg_pos"), F.col("_v.text").alias("text"),
+                 F.col("_n").alias("copies"))
+    if speaker:
+        bests = [F.max(F.when(F.col(speaker) == w, b)).alias(c) for w, c in (("user", "u"), ("agent", "a"))]
+    else:
+        bests = [F.max(b).alias("best")]
+    out = each.groupBy(*keys).agg(*bests)
+    n = F.greatest("u.copies", "a.copies") if speaker else F.col("best.copies")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), n))).drop("_copy")
+
+
 def choose(u: Column, a: Column, mode: str = "intended") -> Column:
     """Pick the record's result from the two bests (A2).
 

@@ -31,36 +31,32 @@ def keep_where(df: DataFrame, col: str, pred: Callable[[Column], Column]) -> Dat
     return df.select(*others, present(F.col(col), pred).alias(col)).select(*df.columns)
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+#: Largest size of a side that is broadcast on a hint.
+BROADCAST_BYTES = 64 << 20
 
 
-def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+def is_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True when the rows of ``df`` take at most ``max_bytes`` (text columns measured, 16 bytes for each other one)."""
+    kinds = dict(df.dtypes)
+    size = F.lit(0).cast("long")
+    for c, kind in kinds.items():
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 16
+        elif kind == "array<string>":
+            size = size + F.coalesce(F.octet_length(F.concat_ws("", c)), F.lit(0)) + 16 * F.greatest(F.size(c), F.lit(0)) + 16
+        else:
+            size = size + 16
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably holds at most ``max_rows`` rows.
-
-    The bound is checked with a count of at most ``max_rows + 1`` rows; above it
-    the frame is returned unhinted and the join falls back to a shuffle join
-    (AQE may still convert it at run time from measured sizes).
-    """
-    return maybe_broadcast(df, is_bounded(df, max_rows))
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
 
 
-def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage by writing ``df`` as parquet under the session's shared
-    checkpoint folder (``spark.checkpoint.dir``) and reading it back.
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its measured bytes are within ``max_bytes``.
 
-    Survives executor loss: the data lives in the cluster's shared storage, not
-    on an executor's local disk.
+    Above it the frame is returned unhinted and the join falls back to a shuffle
+    join (AQE may still convert it at run time from measured sizes).
     """
-    from convaudit.session import ensure_checkpoint_dir
-
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return maybe_broadcast(df, is_bounded(df, max_bytes))

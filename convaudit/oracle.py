@@ -16,7 +16,7 @@ def _q(s: str) -> str:
 
 
 _TERMS_VALUES = ", ".join(f"({_q(t)})" for t in fx.TERMS)
-_RULES_VALUES = ", ".join(f"({r[0]}, {_q(r[1])}, {_q(r[2])}, {_q(r[3])})" for r in fx.RULES)
+_TYPES_SQL = "[" + ", ".join(_q(t) for t in fx.RULE_TYPES) + "]"
 WORD_RE = r"'[\p{L}\p{N}]+'"
 FILTER_SQL = _q(FILTER_CHARS)
 TERMS_SQL = "[" + ", ".join(_q(t) for t in fx.TERMS) + "]"
@@ -31,28 +31,45 @@ def _msg_json(extra: bool) -> str:
     return f"json_object({pairs})"
 
 
-def _cut(col: str) -> str:
-    return (f"CASE WHEN conv_id % {fx.BAD_JSON_MOD} = 0 THEN substring({col}, 1, length({col}) // 2) "
-            f"ELSE {col} END")
+def _day(col: str = "conv_id") -> str:
+    return f"CAST(CAST({_q(fx.CALL_DATE)} AS DATE) + CAST({col} % {fx.DAYS} AS INTEGER) AS DATE)"
+
+
+def _extras(rows: str, id_col: str, payload: str, field: str | None = None, null_col: str | None = None) -> str:
+    """``rows`` (with conv_id) and the unusable copies that ``fixtures._extras`` adds."""
+    parts = [f"SELECT * FROM ({rows})",
+             f"SELECT * REPLACE ('cut-' || {id_col} AS {id_col}, substring({payload}, 1, length({payload}) // 2) AS {payload}) "
+             f"FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 0"]
+    if null_col:
+        parts.append(f"SELECT * REPLACE ('nul-' || {id_col} AS {id_col}, NULL AS {null_col}) FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 1")
+    if field:
+        parts.append(f"SELECT * REPLACE ('mis-' || {id_col} AS {id_col}, replace({payload}, '\"{field}\":', '\"other\":') AS {payload}) "
+                     f"FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 2")
+    return "SELECT * EXCLUDE (conv_id) FROM (" + " UNION ALL ".join(parts) + ")"
 
 
 # name -> (dependencies, body)
 VIEWS: dict[str, tuple[list[str], str]] = {
     "terms": ([], f"SELECT * FROM (VALUES {_TERMS_VALUES}) t(term)"),
-    "rules": ([], f"SELECT * FROM (VALUES {_RULES_VALUES}) t(rule_id, question_type, caller_threshold, key_words)"),
+    "rules": ([], f"""
+        SELECT CAST(item_id AS INTEGER) AS rule_id, ({_TYPES_SQL})[item_id % 6 + 1] AS question_type,
+               CASE WHEN item_id % 7 = 3 THEN 'abc' ELSE CAST(item_id % 4 + 2 AS VARCHAR) END AS caller_threshold,
+               CASE WHEN item_id % 9 = 4 THEN NULL WHEN item_id % 11 = 5 THEN ''
+                    ELSE array_to_string(regexp_extract_all(lower(text), {WORD_RE})[1:3], '#') END AS key_words
+        FROM benchmark"""),
     "messages": ([], """
         SELECT CAST(conv_id AS VARCHAR) AS session_id, turn AS pos,
                CASE WHEN role = 'user' THEN 'user' WHEN role = 'assistant' THEN 'agent' ELSE 'bot' END AS speaker,
                text
         FROM conversations"""),
-    "chat_json": ([], f"""
-        SELECT CAST({_q(fx.CHAT_CREATE_TIME)} AS TIMESTAMP) AS create_time,
-               {_cut('js')} AS chat_records,
+    "chat_json": ([], _extras(f"""
+        SELECT conv_id, CAST({_q(fx.CHAT_CREATE_TIME)} AS TIMESTAMP) + to_days(CAST(conv_id % {fx.DAYS} AS INTEGER)) AS create_time,
+               js AS chat_records,
                CAST(conv_id AS VARCHAR) AS session_id, {_q(fx.USER_ID)} AS user_id, {_q(fx.AGENT_ID)} AS agent_id
         FROM (SELECT conv_id,
                      '[' || string_agg(CASE WHEN turn % {M7} = {R7} THEN {_msg_json(False)}
                                             ELSE {_msg_json(True)} END::VARCHAR, ',' ORDER BY turn) || ']' AS js
-              FROM conversations GROUP BY conv_id)"""),
+              FROM conversations GROUP BY conv_id)""", "session_id", "chat_records", "digest")),
     "speech_payload": ([], f"""
         SELECT conv_id,
                '{{"sentenceListData":[' || string_agg(json_object(
@@ -60,26 +77,27 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                     'wordList', regexp_extract_all(lower(coalesce(text, '')), {WORD_RE}))::VARCHAR,
                     ',' ORDER BY turn) || ']}}' AS js
         FROM conversations GROUP BY conv_id"""),
-    "speech_json": (["speech_payload"], f"""
-        SELECT CAST(conv_id AS VARCHAR) AS task_no, CAST(conv_id AS VARCHAR) AS order_no,
+    "speech_json": (["speech_payload"], _extras(f"""
+        SELECT conv_id, CAST(conv_id AS VARCHAR) AS task_no, CAST(conv_id AS VARCHAR) AS order_no,
                CAST(conv_id % 10 AS DOUBLE) / 10.0 AS score_qingxu,
-               {_cut('js')} AS result, CAST({_q(fx.CALL_DATE)} AS DATE) AS v_date
-        FROM speech_payload"""),
+               js AS result, {_day()} AS v_date
+        FROM speech_payload""", "task_no", "result", "wordList", "score_qingxu")),
     "digest_payload": ([], """
         SELECT conv_id,
                '[' || string_agg(json_object('digest', coalesce(text, ''))::VARCHAR, ',' ORDER BY turn) || ']' AS js1
         FROM conversations GROUP BY conv_id"""),
-    "calls": (["speech_payload", "digest_payload"], f"""
-        SELECT CAST({_q(fx.CALL_DATE)} AS DATE) AS v_date,
+    "calls": (["speech_payload", "digest_payload"], _extras(f"""
+        SELECT conv_id, {_day()} AS v_date,
                CAST(CASE WHEN conv_id % 2 = 0 THEN 1 ELSE 2 END AS INTEGER) AS source,
                CAST(conv_id AS VARCHAR) AS order_no, CAST(conv_id AS VARCHAR) AS task_no,
-               {_cut('jsx')} AS result
+               jsx AS result, CAST(CAST({_q(fx.CALL_DATE)} AS DATE) + CAST(conv_id % 2 AS INTEGER) AS DATE) AS compute_date
         FROM (SELECT p.conv_id, CASE WHEN p.conv_id % 2 = 0 THEN d.js1 ELSE p.js END AS jsx
-              FROM speech_payload p JOIN digest_payload d ON p.conv_id = d.conv_id)"""),
+              FROM speech_payload p JOIN digest_payload d ON p.conv_id = d.conv_id)""", "task_no", "result")),
     "tickets": ([], """
-        SELECT CAST(o_orderdate AS DATE) AS v_date, CAST(o_orderkey AS VARCHAR) AS issue_no,
+        SELECT CASE WHEN o_orderkey % 89 <> 7 THEN CAST(o_orderdate AS DATE) END AS v_date, CAST(o_orderkey AS VARCHAR) AS issue_no,
                CAST(o_custkey AS VARCHAR) AS order_no, o_orderpriority AS problem_config_no_3,
-               CAST(coalesce(li.n, 0) AS INTEGER) AS caller_num
+               CASE WHEN o_orderkey % 97 = 5 THEN NULL WHEN o_orderkey % 97 = 6 THEN 'n/a'
+                    ELSE CAST(coalesce(li.n, 0) AS VARCHAR) END AS caller_num
         FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) li
              ON o_orderkey = li.l_orderkey"""),
     "canned": ([], f"""
@@ -131,13 +149,16 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "rules_p": (["rules"], """
         SELECT question_type, threshold, keywords FROM (
             SELECT question_type, TRY_CAST(caller_threshold AS DOUBLE) AS threshold,
-                   string_split(coalesce(key_words, ''), '#') AS keywords,
+                   string_split(key_words, '#') AS keywords,
                    row_number() OVER (PARTITION BY question_type ORDER BY rule_id DESC) AS rn
-            FROM rules WHERE TRY_CAST(caller_threshold AS DOUBLE) IS NOT NULL AND question_type IS NOT NULL)
+            FROM rules WHERE TRY_CAST(caller_threshold AS DOUBLE) IS NOT NULL AND question_type IS NOT NULL
+                  AND key_words IS NOT NULL)
         WHERE rn = 1"""),
     "tickets_t": (["tickets", "rules_p"], """
-        SELECT t.*, r.threshold, coalesce(CAST(t.caller_num AS DOUBLE) >= r.threshold, false) AS passes
-        FROM tickets t JOIN rules_p r ON t.problem_config_no_3 = r.question_type"""),
+        SELECT t.* REPLACE (TRY_CAST(t.caller_num AS INTEGER) AS caller_num), r.threshold,
+               TRY_CAST(t.caller_num AS DOUBLE) >= r.threshold AS passes
+        FROM tickets t JOIN rules_p r ON t.problem_config_no_3 = r.question_type
+        WHERE TRY_CAST(t.caller_num AS INTEGER) IS NOT NULL AND t.v_date IS NOT NULL"""),
     "orders_i": (["tickets_t"], """
         SELECT order_no, question_type, passes, n_tickets, n_passing, max_caller_num FROM (
             SELECT order_no,

@@ -16,9 +16,10 @@ SELECT question_type, threshold AS caller_threshold, array_to_string(keywords, '
        CAST(len(keywords) AS INTEGER) AS n_keywords
 FROM rules_p""", "rules_p")
 
-SQL["ticket_scan"] = W("""
+SQL["ticket_scan"] = W(f"""
 SELECT strftime(v_date, '%Y-%m-%d') AS v_date, issue_no, order_no, problem_config_no_3, caller_num
-FROM tickets WHERE problem_config_no_3 IN (SELECT question_type FROM rules_p)""", "tickets", "rules_p")
+FROM tickets WHERE problem_config_no_3 IN (SELECT question_type FROM rules_p)
+  AND v_date BETWEEN CAST('{fx.TICKET_DATES[0]}' AS DATE) AND CAST('{fx.TICKET_DATES[1]}' AS DATE)""", "tickets", "rules_p")
 
 SQL["ticket_threshold"] = W("""
 SELECT strftime(v_date, '%Y-%m-%d') AS v_date, issue_no, order_no, problem_config_no_3, caller_num, threshold
@@ -26,9 +27,11 @@ FROM tickets_t WHERE passes""", "tickets_t")
 
 SQL["order_type_last"] = W("SELECT order_no, question_type, n_tickets FROM orders_i", "orders_i")
 
-SQL["call_scan"] = W("""
+SQL["call_scan"] = W(f"""
 SELECT c.task_no, c.order_no, c.source, o.question_type
-FROM calls c JOIN orders_i o ON c.order_no = o.order_no WHERE o.passes""", "calls", "orders_i")
+FROM calls c JOIN orders_i o ON c.order_no = o.order_no
+WHERE o.passes AND c.compute_date = CAST('{fx.CALL_DATE}' AS DATE)
+  AND c.v_date BETWEEN CAST('{fx.CALL_DATES[0]}' AS DATE) AND CAST('{fx.CALL_DATES[1]}' AS DATE)""", "calls", "orders_i")
 
 SQL["call_keywords"] = W("""
 SELECT task_no, order_no, question_type, array_to_string(keywords, '#') AS key_words FROM calls_k""", "calls_k")
@@ -82,19 +85,26 @@ SQL["speech_min_words"] = W("""
 SELECT task_no, pos, CAST(len(words) AS INTEGER) AS n_words FROM speech_sent WHERE len(words) >= 5""", "speech_sent")
 
 SQL["json_quarantine"] = W("""
+SELECT * FROM (
 SELECT 'chat' AS kind, session_id AS record_id,
-       CASE WHEN json_valid(chat_records) THEN 'bad_shape' ELSE 'bad_json' END AS reason
-FROM chat_json
-WHERE chat_records IS NOT NULL AND NOT (CASE WHEN json_valid(chat_records) THEN json_type(chat_records) = 'ARRAY' ELSE false END)
+       CASE WHEN NOT json_valid(chat_records) THEN 'bad_json'
+            WHEN json_type(chat_records) <> 'ARRAY' THEN 'bad_shape'
+            WHEN len(list_filter(from_json(chat_records, '["JSON"]'),
+                     lambda e: len(list_distinct(json_keys(e))) = 8 AND (e->>'userId' IS NULL OR e->>'digest' IS NULL))) > 0
+            THEN 'missing_field' END AS reason
+FROM chat_json WHERE chat_records IS NOT NULL
 UNION ALL
-SELECT 'speech', task_no, CASE WHEN json_valid(result) THEN 'bad_shape' ELSE 'bad_json' END
-FROM speech_json
-WHERE result IS NOT NULL
-  AND (CASE WHEN json_valid(result) THEN json_extract(result, '$.sentenceListData') IS NULL ELSE true END)
+SELECT 'speech', task_no,
+       CASE WHEN NOT json_valid(result) THEN 'bad_json'
+            WHEN json_extract(result, '$.sentenceListData') IS NULL THEN 'bad_shape'
+            WHEN len(list_filter(from_json(result, '{"sentenceListData":[{"text":"VARCHAR","wordList":["VARCHAR"]}]}').sentenceListData,
+                     lambda x: x.wordList IS NULL)) > 0 THEN 'missing_field'
+            WHEN score_qingxu IS NULL THEN 'null_emotion' END
+FROM speech_json WHERE result IS NOT NULL
 UNION ALL
-SELECT 'call', task_no, CASE WHEN json_valid(result) THEN 'bad_shape' ELSE 'bad_json' END
-FROM call_texts WHERE texts IS NULL AND source IN (1, 2) AND result IS NOT NULL""",
-                           "chat_json", "speech_json", "call_texts")
+SELECT 'call', task_no, CASE WHEN texts IS NOT NULL THEN NULL WHEN json_valid(result) THEN 'bad_shape' ELSE 'bad_json' END
+FROM call_texts WHERE source IN (1, 2) AND result IS NOT NULL)
+WHERE reason IS NOT NULL""", "chat_json", "speech_json", "call_texts")
 
 SQL["flow_sentences"] = W("""
 SELECT task_no, source, CAST(i - 1 AS INTEGER) AS pos, text
@@ -119,9 +129,10 @@ FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD_RE})) AS token FROM do
 
 SQL["sensitive_token"] = W(f"SELECT session_id, pos FROM chat_sent WHERE list_has_any(tokens, {TERMS_SQL})",
                            "chat_sent")
-SQL["sensitive_substring"] = W("""
+SQL["sensitive_substring"] = W(f"""
 SELECT session_id, pos FROM chat_sent
-WHERE EXISTS (SELECT 1 FROM terms WHERE contains(array_to_string(tokens, ''), term))""", "chat_sent", "terms")
+WHERE EXISTS (SELECT 1 FROM (SELECT term FROM terms UNION ALL SELECT '{fx.MIXED_CASE_ENTRY}' || 'ER') t
+              WHERE contains(array_to_string(tokens, ''), lower(t.term)))""", "chat_sent", "terms")
 SQL["lexicon_semi"] = W("""
 SELECT DISTINCT s.session_id, s.pos FROM chat_sent s, unnest(s.tokens) AS u(tok)
 WHERE u.tok IN (SELECT term FROM terms)""", "chat_sent", "terms")
@@ -177,7 +188,18 @@ SQL["chat_audit"] = W("SELECT * FROM chat_result", "chat_result")
 SQL["speech_audit"] = W("SELECT * FROM speech_result", "speech_result")
 SQL["audit_union"] = W("SELECT * FROM audit_rows", "audit_rows")
 SQL["integrate_results"] = W("SELECT * FROM integrated", "integrated")
-SQL["daily_audit"] = W("SELECT * FROM integrated", "integrated")
+SQL["daily_audit"] = W(f"SELECT * FROM integrated WHERE v_date = '{fx.CALL_DATE}'", "integrated")
+SQL["chat_audit_large_lexicon"] = SQL["chat_audit"]
+SQL["audit_sink_rerun"] = W(f"SELECT * FROM audit_rows WHERE NOT (source = 2 AND v_date = '{fx.CALL_DATE}')", "audit_rows")
+
+
+def _flow_day(check: str, first: str, last: str) -> str:
+    return f"""
+SELECT '{check}' AS check_date, f.* FROM flow_res f JOIN calls c ON c.task_no = f.task_no
+WHERE c.compute_date = CAST('{check}' AS DATE) AND c.v_date BETWEEN CAST('{first}' AS DATE) AND CAST('{last}' AS DATE)"""
+
+
+SQL["flow_sink_two_days"] = W(" UNION ALL ".join(_flow_day(*d) for d in fx.FLOW_DAYS), "flow_res", "calls")
 
 # ---------------------------------------------------------------- evaluation
 _LP = "(SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(1 - toxic AS DOUBLE) AS prediction FROM labels)"

@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from convaudit import schemas
 from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig
 from convaudit.functions.lexicon import sensitive
-from convaudit.functions.text import clean_tokens, compare, tokenize
+from convaudit.functions.text import clean_tokens, compare, lower_all, tokenize
 from convaudit.operators import lexicon as lexops
 from convaudit.operators import parse
 from convaudit.operators.score import blend
-from convaudit.operators.select import argmax, choose, speaker_bests
+from convaudit.operators.select import choose, record_bests
 from convaudit.operators.util import keep_where, present
 from convaudit.sources.tables import day_scan
 
@@ -29,12 +29,20 @@ Scorer = Callable[[DataFrame], DataFrame]
 Lexicon = Sequence[str] | DataFrame
 
 
-def _with_sensitive(df: DataFrame, lexicon: Lexicon, cfg: AuditConfig, keys: Sequence[str]) -> DataFrame:
+def _folded(lexicon: Lexicon) -> Lexicon:
+    """Entries in lower case, as the tokens are."""
+    if isinstance(lexicon, DataFrame):
+        return lexicon.select(F.lower(F.col(lexicon.columns[0])).alias("entry"))
+    return lexicon  # ``sensitive`` folds a list
+
+
+def _with_sensitive(df: DataFrame, lexicon: Lexicon, cfg: AuditConfig) -> DataFrame:
     """Keep rows whose ``tokens`` hit the lexicon (inline when bounded, else a join)."""
+    lexicon = _folded(lexicon)
     entries = lexops.inline_entries(lexicon, cfg.max_inline_lexicon)
     if entries is not None:
         return df.where(sensitive(F.col("tokens"), entries, cfg.sensitive_mode))
-    return lexops.semi_join_lexicon(df, lexicon, keys, cfg.sensitive_mode)
+    return lexops.semi_join_lexicon(df, lexicon, cfg.sensitive_mode)
 
 
 def chat_candidates(chat: DataFrame, lexicon: Lexicon, cfg: AuditConfig,
@@ -43,7 +51,7 @@ def chat_candidates(chat: DataFrame, lexicon: Lexicon, cfg: AuditConfig,
     s = parse.chat_sentences(chat, canned, cfg.message_keys)
     s = s.withColumn("tokens", clean_tokens(tokenize(F.col("digest"), cfg.han_mode), cfg.filter_chars))
     s = s.where(F.size("tokens") > 0)
-    return _with_sensitive(s, lexicon, cfg, ["create_time", "session_id", "speaker", "pos"])
+    return _with_sensitive(s, lexicon, cfg)
 
 
 def chat_scored(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig,
@@ -63,7 +71,7 @@ def _inline_inputs(lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: D
     """
     if not cfg.inline or not hasattr(scorer, "column"):
         return None
-    entries = lexops.inline_entries(lexicon, cfg.max_inline_lexicon)
+    entries = lexops.inline_entries(_folded(lexicon), cfg.max_inline_lexicon)
     if entries is None:
         return None
     sentences: list[str] = []
@@ -130,7 +138,8 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
 
     With an expression scorer and bounded lexicon/canned tables the whole audit
     runs inside each record's row (map-only plan); otherwise sentences are
-    exploded, scored (e.g. by a model) and reduced with one partial aggregate.
+    exploded, scored (e.g. by a model) and reduced per record. Every plan gives one
+    row per input record, whatever its key (null, shared or repeated).
     """
     chat = schemas.require(chat, schemas.CHAT_RECORD, "chat_record")
     inline = _inline_inputs(lexicon, scorer, cfg, canned)
@@ -138,7 +147,7 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
         pick = _chat_pick_inline(chat, *inline, scorer, cfg)
     else:
         s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
-        best = speaker_bests(s, ["create_time", "session_id"])
+        best = record_bests(s, parse.CHAT_KEYS + parse.PAYLOAD_HASH, speaker="speaker")
         pick = best.select("create_time", "session_id", choose(F.col("u"), F.col("a"), cfg.select_mode).alias("c"))
         pick = pick.where(F.col("c").isNotNull() & compare(F.col("c.score"), cfg.record_op, cfg.chat_threshold))
     return pick.select(
@@ -154,8 +163,8 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
 def speech_candidates(speech: DataFrame, lexicon: Lexicon, cfg: AuditConfig) -> DataFrame:
     """Recognised sentences of >= min_words words whose cleaned tokens hit the lexicon."""
     s = parse.keep_min_words(parse.speech_sentences(speech), cfg.min_words)
-    s = s.withColumn("tokens", clean_tokens(F.col("words"), cfg.filter_chars)).where(F.size("tokens") > 0)
-    return _with_sensitive(s, lexicon, cfg, ["v_date", "task_no", "pos"])
+    s = s.withColumn("tokens", clean_tokens(lower_all(F.col("words")), cfg.filter_chars)).where(F.size("tokens") > 0)
+    return _with_sensitive(s, lexicon, cfg)
 
 
 def speech_scored(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig) -> DataFrame:
@@ -172,7 +181,7 @@ def _speech_best_inline(entries: list[str], scorer, cfg: AuditConfig) -> Column:
 
     def cand(s, i):
         return F.struct(i.alias("pos"), s["wordList"].alias("words"),
-                        clean_tokens(s["wordList"], cfg.filter_chars).alias("tokens"))
+                        clean_tokens(lower_all(s["wordList"]), cfg.filter_chars).alias("tokens"))
 
     def keep(x):
         return (F.size(x["words"]) >= cfg.min_words) & (F.size(x["tokens"]) > 0) \
@@ -197,11 +206,11 @@ def speech_audit(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audit
     if inline is not None:
         b = speech.select("v_date", "task_no", present(_speech_best_inline(inline[0], scorer, cfg)).alias("_b"))
         best = b.select(
-            "v_date", "task_no", F.col("_b.score").alias("best_score"), (-F.col("_b.neg_pos")).alias("best_pos"),
-            F.col("_b.text").alias("best_text"))
+            "v_date", "task_no", F.col("_b.score").alias("best_score"), F.col("_b.text").alias("best_text"))
     else:
         s = speech_scored(speech, lexicon, scorer, cfg).withColumn("text", F.concat_ws(" ", "words"))
-        best = argmax(s, ["v_date", "task_no"])
+        best = record_bests(s, parse.SPEECH_KEYS + parse.PAYLOAD_HASH).select(
+            "v_date", "task_no", F.col("best.score").alias("best_score"), F.col("best.text").alias("best_text"))
     best = best.where(compare(F.col("best_score"), cfg.record_op, cfg.speech_threshold))
     day = F.date_format("v_date", "yyyy-MM-dd")
     return best.select(

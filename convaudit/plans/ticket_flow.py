@@ -23,13 +23,15 @@ class FlowOutputs:
 
 def flow_check(rules: DataFrame, tickets: DataFrame, calls: DataFrame,
                cfg: FlowConfig = FlowConfig()) -> FlowOutputs:
-    tickets = schemas.require(tickets, schemas.TICKET, "ticket")
-    calls = schemas.require(calls, schemas.CALL_RECORD, "call_record")
-    # parsed rules are at most as many as raw rule rows: bound the raw table (no shuffle)
-    small = flow.rules_are_small(rules, cfg.max_broadcast_rules)
+    rules = schemas.require(rules, schemas.FLOW_RULE, "flow_rule")
+    tickets = schemas.require(tickets.withColumn("caller_num", tickets["caller_num"].cast("string")), schemas.TICKET, "ticket")
+    extra = [c for c in ("compute_date",) if c in calls.columns]
+    calls = schemas.require(calls, schemas.CALL_RECORD, "call_record", extra)
+    # parsed rules are no larger than the raw rule rows: bound the raw table (no shuffle)
+    small = flow.rules_are_small(rules, cfg.max_broadcast_bytes)
     rules_p = flow.parse_rules(rules)
     t = flow.ticket_thresholds(flow.scan_tickets(tickets, rules_p, cfg.ticket_dates, small), rules_p, small)
     orders = flow.order_info(t)
-    c = flow.attach_keywords(flow.scan_calls(calls, orders, cfg.call_dates), rules_p, small)
-    results = flow.flow_results(c, cfg.is_keyword)
-    return FlowOutputs(rules_p, t, orders, c, results, flow.flow_summary(results, orders))
+    c = flow.attach_keywords(flow.scan_calls(calls, orders, cfg.call_dates, cfg.check_date), rules_p, small)
+    summary = flow.flow_results(c, cfg.is_keyword)
+    return FlowOutputs(rules_p, t, orders, c, flow.flow_rows(summary), summary)

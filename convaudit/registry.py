@@ -7,17 +7,18 @@ are aliased exactly as in the matching SQL of ``convaudit.oracle_queries``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from convaudit.config import AuditConfig, FlowConfig
+from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig, FlowConfig
 from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
 from convaudit.ml import train as ml_train
-from convaudit.ml.features import FeatureConfig, feature_pipeline
+from convaudit.ml.features import FeatureConfig, feature_pipeline, with_tokens
 from convaudit.ml.score import ModelScorer, neg_prob, predict_label
 from convaudit.ml.train import TrainConfig
 from convaudit.operators import evaluate, flow, parse
@@ -27,7 +28,9 @@ from convaudit.operators.select import argmax, argmax_window, choose, speaker_be
 from convaudit.plans import audit, training
 from convaudit.plans import ticket_flow as flowplan
 from convaudit.sources import fixtures as fx
+from convaudit.session import ensure_checkpoint_dir
 from convaudit.sources import tables
+from convaudit.sources.sinks import FLOW_PARTITIONS, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -39,14 +42,14 @@ def query(fn: Query) -> Query:
 
 
 def _flow(spark: SparkSession, sf: str, cfg: FlowConfig = FlowConfig()):
-    return flowplan.flow_check(fx.rules(spark), fx.tickets(spark, sf), fx.calls(spark, sf), cfg)
+    return flowplan.flow_check(fx.rules(spark, sf), fx.tickets(spark, sf), fx.calls(spark, sf), cfg)
 
 
 # ---------------------------------------------------------------- flow check
 
 @query
 def rule_parse(spark, sf):
-    r = flow.parse_rules(fx.rules(spark))
+    r = flow.parse_rules(fx.rules(spark, sf))
     return r.select("question_type", F.col("threshold").alias("caller_threshold"),
                     F.array_join("keywords", "#").alias("key_words"),
                     F.size("keywords").cast("int").alias("n_keywords"))
@@ -54,7 +57,7 @@ def rule_parse(spark, sf):
 
 @query
 def ticket_scan(spark, sf):
-    t = flow.scan_tickets(fx.tickets(spark, sf), flow.parse_rules(fx.rules(spark)))
+    t = flow.scan_tickets(fx.tickets(spark, sf), flow.parse_rules(fx.rules(spark, sf)), fx.TICKET_DATES)
     return t.select(F.date_format("v_date", "yyyy-MM-dd").alias("v_date"), "issue_no", "order_no",
                     "problem_config_no_3", "caller_num")
 
@@ -74,7 +77,7 @@ def order_type_last(spark, sf):
 @query
 def call_scan(spark, sf):
     o = _flow(spark, sf).orders
-    c = flow.scan_calls(fx.calls(spark, sf), o)
+    c = flow.scan_calls(fx.calls(spark, sf), o, fx.CALL_DATES, fx.CALL_DATE)
     return c.select("task_no", "order_no", "source", "question_type")
 
 
@@ -87,11 +90,11 @@ def call_keywords(spark, sf):
 @query
 def flow_first_keyword(spark, sf):
     """Keyword hit for every call whose order has a known type (no threshold filter)."""
-    rules_p = flow.parse_rules(fx.rules(spark))
+    rules_p = flow.parse_rules(fx.rules(spark, sf))
     t = flow.ticket_thresholds(flow.scan_tickets(fx.tickets(spark, sf), rules_p), rules_p)
     orders = flow.order_info(t).withColumn("passes", F.lit(True))
     c = flow.attach_keywords(flow.scan_calls(fx.calls(spark, sf), orders), rules_p)
-    return flow.flow_results(c, is_keyword=True)
+    return flow.flow_rows(flow.flow_results(c, is_keyword=True))
 
 
 @query
@@ -226,7 +229,7 @@ def sensitive_token(spark, sf):
 
 @query
 def sensitive_substring(spark, sf):
-    m = _chat_tokens(spark, sf).where(sensitive(F.col("tokens"), fx.TERMS, "substring"))
+    m = _chat_tokens(spark, sf).where(sensitive(F.col("tokens"), [*fx.TERMS, fx.MIXED_CASE_ENTRY + "ER"], "substring"))
     return m.select("session_id", "pos")
 
 
@@ -325,6 +328,13 @@ def chat_audit(spark, sf):
     return _chat_audit(spark, sf)
 
 
+@query
+def chat_audit_large_lexicon(spark, sf):
+    """Q1 over a lexicon too large to inline: the same rows by the join path."""
+    return audit.chat_audit(_chat(spark, sf), fx.terms_df(spark), RatioScorer(tuple(fx.TERMS)),
+                            _cfg(max_inline_lexicon=0), fx.canned(spark, sf))
+
+
 @query
 def speech_audit(spark, sf):
     return _speech_audit(spark, sf)
@@ -349,6 +359,33 @@ def daily_audit(spark, sf):
                                   fx.canned(spark, sf))
 
 
+# ---------------------------------------------------------------- sinks
+
+def _folder(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/queries/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def audit_sink_rerun(spark, sf):
+    """Both audits written, then the first day written again with no speech row."""
+    path, rows = _folder(spark, "audits"), audit.audit_union(_chat_audit(spark, sf), _speech_audit(spark, sf))
+    write_partitioned(rows, path)
+    day = [{"v_date": fx.CALL_DATE, "source": s} for s in (SOURCE_CHAT, SOURCE_SPEECH)]
+    write_partitioned(_chat_audit(spark, sf).where(F.col("v_date") == fx.CALL_DATE), path, targets=day)
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
+@query
+def flow_sink_two_days(spark, sf):
+    """The flow check of two consecutive days; neither run touches the other's rows."""
+    path = _folder(spark, "flow")
+    for check, first, last in fx.FLOW_DAYS:
+        rows = _flow(spark, sf, FlowConfig(call_dates=(first, last), check_date=check)).results
+        rows = rows.select(F.lit(check).alias("check_date"), "*")
+        write_partitioned(rows, path, FLOW_PARTITIONS, targets=[{"check_date": check}])
+    return spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+
+
 # ---------------------------------------------------------------- evaluation
 
 def _label_pred(spark, sf):
@@ -390,11 +427,10 @@ def train_test_split(spark, sf):
 
 
 # ---------------------------------------------------------------- ML (rows-only checks)
-# Test-scale model settings: the library defaults are the reference's (400-dim
-# vectors, 5000 LR iterations, 300 trees); the registered queries use small
-# ones so a check at sf0.01 finishes in seconds. Every labelled row is used.
-ML_FEATURES = FeatureConfig(num_features=1 << 12, vector_size=32, w2v_iters=1)
-ML_CFG = TrainConfig(features=ML_FEATURES, lr_max_iter=100, trees=20, depth=5, gbt_iters=5)
+# The library's settings: 2 x 400 columns, 5000 LR iterations at most, 300 trees. The
+# boosted models stop when a round no longer helps on held-out training rows.
+ML_FEATURES = FeatureConfig()
+ML_CFG = TrainConfig(features=ML_FEATURES)
 
 
 def _split(spark, sf):
@@ -403,7 +439,7 @@ def _split(spark, sf):
 
 @query
 def features_two_view(spark, sf):
-    lab = fx.labelled(spark, sf)
+    lab = with_tokens(fx.labelled(spark, sf), ML_FEATURES)
     m = feature_pipeline(ML_FEATURES).fit(lab)
     v = m.transform(lab)
     return v.select("doc_id", "label", vector_to_array("features").alias("_f")).select(
@@ -463,4 +499,4 @@ def chat_audit_lr(spark, sf):
     """Q1 with a logistic-regression scorer trained on the labelled corpus."""
     train, _ = _split(spark, sf)
     scorer = ModelScorer([ml_train.fit_lr(train, ML_CFG)])
-    return audit.chat_audit(_chat(spark, sf), fx.TERMS, scorer, _cfg(chat_threshold=0.5), fx.canned(spark, sf))
+    return audit.chat_audit(_chat(spark, sf), fx.TERMS, scorer, _cfg(chat_threshold=fx.LR_THRESHOLD), fx.canned(spark, sf))

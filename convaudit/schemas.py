@@ -35,7 +35,7 @@ TICKET = T.StructType([
     T.StructField("issue_no", S),
     T.StructField("order_no", S),
     T.StructField("problem_config_no_3", S),
-    T.StructField("caller_num", T.IntegerType()),
+    T.StructField("caller_num", S),
 ])
 
 CALL_RECORD = T.StructType([
@@ -82,12 +82,12 @@ class SchemaMismatch(ValueError):
     pass
 
 
-def require(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFrame:
+def require(df: DataFrame, schema: T.StructType, name: str = "input", extra: list[str] | None = None) -> DataFrame:
     """Check that ``df`` carries every declared column with its declared type.
 
     Extra columns are allowed (they are pruned by the plans); a missing column
     or a type change raises, as the reference stops on a wrong row arity.
-    Returns ``df`` projected to the declared column order.
+    Returns ``df`` projected to the declared column order, then the ``extra`` ones.
     """
     have = {f.name: f.dataType for f in df.schema.fields}
     problems = []
@@ -98,4 +98,4 @@ def require(df: DataFrame, schema: T.StructType, name: str = "input") -> DataFra
             problems.append(f"{f.name}: {have[f.name].simpleString()} != {f.dataType.simpleString()}")
     if problems:
         raise SchemaMismatch(f"{name}: " + "; ".join(problems))
-    return df.select(*[f.name for f in schema.fields])
+    return df.select(*[f.name for f in schema.fields], *(extra or []))

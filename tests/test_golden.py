@@ -205,3 +205,88 @@ def test_chinese_text_with_phrase_lexicon(spark):
     out = result(audit.chat_audit(chats, ["太差"], scorer, cfg()))
     assert out == {"zh": ("你们的服务太差了", 0.125)}  # 8 character tokens, 1 hit
     assert result(audit.chat_audit(chats, ["太差"], scorer, cfg(sensitive_mode="token"))) == {}
+
+
+def _odd_records(spark):
+    """Two records of one key, a null session, a null time, and one record twice."""
+    rows = [(TS, [msg("u", "bad a b")], "s"), (TS, [msg("u", "bad bad")], "s"), (TS, [msg("u", "bad x")], None),
+            (None, [msg("u", "bad y")], "t"), (TS, [msg("u", "bad z")], "w"), (TS, [msg("u", "bad z")], "w")]
+    return spark.createDataFrame([(t, json.dumps(m), s, "u", "a") for t, m, s in rows],
+                                 "create_time timestamp_ntz, chat_records string, session_id string, user_id string, agent_id string")
+
+
+def test_one_row_per_record_whatever_the_lexicon_size(spark):
+    chats = _odd_records(spark)
+    lex = spark.createDataFrame([("bad",)], "entry string")
+    canned = spark.createDataFrame([("bad q",)], "sentence string")
+    for mode in ("substring", "token"):
+        for most in (20_000, 0):  # inline entries, then the join path
+            out = audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most, sensitive_mode=mode), canned).collect()
+            assert sorted(r.problem_text for r in out) == ["bad a b", "bad bad", "bad x", "bad y", "bad z", "bad z"]
+
+
+def test_large_lexicon_reports_the_sentence_that_was_hit(spark):
+    """Another record of the same key must not lend its hit."""
+    chats = chat_df(spark, [("k", [msg("u", "lexhit bad a b c")], "u", "a"), ("k", [msg("u", "bad bad")], "u", "a")])
+    lex = spark.createDataFrame([("lexhit",)], "entry string")
+    for most in (20_000, 0):
+        assert result(audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most))) == {"k": ("lexhit bad a b c", 0.2)}
+
+
+def test_speech_records_of_one_key_stay_apart(spark):
+    say = lambda *w: json.dumps({"sentenceListData": [{"text": "x", "wordList": list(w)}]})
+    d = dt.date(2024, 1, 15)
+    rows = [("t", "o", 0.5, say("bad", "a", "b", "c", "d"), d), ("t", "o", 0.5, say("bad", "bad", "b", "c", "d"), d),
+            (None, "o", 0.5, say("bad", "e", "f", "g", "h"), d), ("r", "o", 0.5, say("bad", "i", "j", "k", "l"), d),
+            ("r", "o", 0.5, say("bad", "i", "j", "k", "l"), d)]
+    speech = spark.createDataFrame(rows, "task_no string, order_no string, score_qingxu double, result string, v_date date")
+    assert audit.speech_audit(speech, LEX, SCORER, cfg()).count() == 5
+
+
+def test_upper_case_entries_match(spark):
+    chats = chat_df(spark, [("s", [msg("u", "bad APP")], "u", "a")])
+    for mode in ("substring", "token"):
+        assert result(audit.chat_audit(chats, ["APP"], SCORER, cfg(sensitive_mode=mode))) == {"s": ("bad APP", 0.5)}
+
+
+def test_rules_and_tickets_that_do_not_parse_are_skipped(spark):
+    """A null keyword text fails to split, a null or odd count fails to convert, a null date
+    fails to format: each such row is skipped before anything is learned from it."""
+    rules = spark.createDataFrame([(1, "X", "2", "k1"), (2, "X", "2", None), (3, "Y", "2", "y1")],
+                                  "rule_id int, question_type string, caller_threshold string, key_words string")
+    d = dt.date(2024, 1, 15)
+    tickets = spark.createDataFrame(
+        [(d, "1", "o", "X", "5"), (d, "2", "o", "Y", None), (d, "3", "o", "Y", "n/a"), (None, "4", "o", "Y", "9")],
+        "v_date date, issue_no string, order_no string, problem_config_no_3 string, caller_num string")
+    calls = spark.createDataFrame([(d, 1, "o", "c", json.dumps([{"digest": "hello"}, {"digest": "y1"}, {"digest": "k1 here"}]))],
+                                  "v_date date, source int, order_no string, task_no string, result string")
+    out = flow_check(rules, tickets, calls, FlowConfig())
+    assert [(r.keyword, r.text) for r in out.results.collect()] == [("k1", "k1 here")]
+    assert out.orders.first().n_tickets == 1
+
+
+def test_check_date_applies_where_calls_carry_one(spark):
+    rules, tickets, calls = _flow_inputs(spark)
+    dated = calls.withColumn("compute_date", F.when(F.col("task_no") == "c1", F.lit("2024-01-16")).otherwise("2024-01-15").cast("date"))
+    run = lambda day: {r.task_no for r in flow_check(rules, tickets, dated, FlowConfig(check_date=day)).results.collect()}
+    assert run("2024-01-16") == {"c1"} and "c1" not in run("2024-01-15")
+
+
+def test_incomplete_records_are_quarantined(spark):
+    whole, no_digest = msg("u", "x"), msg("u", "x")
+    no_digest["other"] = no_digest.pop("digest")
+    chats = chat_df(spark, [("ok", [whole], "u", "a"), ("mis", [whole, no_digest], "u", "a")])
+    d, words = dt.date(2024, 1, 15), json.dumps({"sentenceListData": [{"text": "a", "wordList": ["a"]}]})
+    speech = spark.createDataFrame(
+        [("ok", "o", 0.1, words, d), ("nul", "o", None, words, d), ("mis", "o", 0.1, '{"sentenceListData": [{"text": "a"}]}', d)],
+        "task_no string, order_no string, score_qingxu double, result string, v_date date")
+    assert {(r.kind, r.record_id): r.reason for r in parse.quarantine(chats, speech).collect()} == {
+        ("chat", "mis"): "missing_field", ("speech", "nul"): "null_emotion", ("speech", "mis"): "missing_field"}
+
+
+def test_rule_layout_is_checked(spark):
+    from convaudit import schemas
+
+    _, tickets, calls = _flow_inputs(spark)
+    with pytest.raises(schemas.SchemaMismatch):
+        flow_check(spark.createDataFrame([("X", "1")], "question_type string, key_words string"), tickets, calls, FlowConfig())

@@ -4,7 +4,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from conftest import SF01
 from convaudit.config import AuditConfig
 from convaudit.functions.lexicon import sensitive
@@ -12,12 +11,10 @@ from convaudit.operators import parse
 from convaudit.operators.score import RatioScorer
 from convaudit.operators.select import argmax
 from convaudit.plans import audit
+from convaudit.registry import QUERIES as Q
 from convaudit.sources import fixtures as fx
 from convaudit.sources.sinks import write_partitioned
 
-Q = queries()
-
-
 def test_argmax_aggregate_equals_window(spark):
     a = Q["chat_argmax"](spark, SF01)
     w = Q["chat_argmax_window"](spark, SF01)
@@ -58,10 +55,11 @@ def test_partitioned_sink_is_rerun_safe(spark, tmp_path):
     write_partitioned(res, out)
     write_partitioned(res, out)  # rerun of the same day
     assert spark.read.parquet(out).count() == n
-    other = res.withColumn("v_date", F.lit("2024-01-16"))
+    other = res.withColumn("v_date", F.lit("2024-02-16"))
     write_partitioned(other, out)  # another day lands beside it
     assert spark.read.parquet(out).count() == 2 * n
-    assert sorted(d for d in os.listdir(out) if d.startswith("v_date=")) == ["v_date=2024-01-15", "v_date=2024-01-16"]
+    assert sorted(d for d in os.listdir(out) if d.startswith("v_date=")) == [
+        "v_date=2024-01-15", "v_date=2024-01-16", "v_date=2024-01-17", "v_date=2024-02-16"]
 
 
 def test_schema_gate_rejects_wrong_layout(spark):
@@ -72,7 +70,7 @@ def test_schema_gate_rejects_wrong_layout(spark):
     bad = spark.createDataFrame([("x",)], "session_id string")
     with pytest.raises(schemas.SchemaMismatch):
         audit.chat_audit(bad, fx.TERMS, RatioScorer(tuple(fx.TERMS)))
-    wrong_type = fx.tickets(spark, SF01).withColumn("caller_num", F.col("caller_num").cast("string"))
+    wrong_type = fx.tickets(spark, SF01).withColumn("caller_num", F.lit(1.5))
     with pytest.raises(schemas.SchemaMismatch):
         schemas.require(wrong_type, schemas.TICKET)
 

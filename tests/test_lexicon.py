@@ -35,10 +35,10 @@ def test_inline_and_join_paths_agree(spark):
     df = spark.createDataFrame(rows, "id int, text string").withColumn("tokens", F.split("text", " "))
     inline = {r.id for r in df.where(contains_any(F.concat_ws("", "tokens"), words)).collect()}
     lex = spark.createDataFrame([(w,) for w in words], "entry string")
-    joined = {r.id for r in lexops.semi_join_lexicon(df, lex, ["id"], "substring").collect()}
+    joined = {r.id for r in lexops.semi_join_lexicon(df, lex, "substring").collect()}
     brute = {i for i, t in rows if any(w in t.replace(" ", "") for w in words)}
     assert inline == joined == brute
-    tok = {r.id for r in lexops.semi_join_lexicon(df, lex, ["id"], "token").collect()}
+    tok = {r.id for r in lexops.semi_join_lexicon(df, lex, "token").collect()}
     assert tok == {0, 4}
 
 

@@ -1,26 +1,53 @@
-"""Plan-shape guards for every registered (non-ML) query."""
+"""Plan-shape guards for every registered query of the reference's operators."""
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from conftest import SF001
+from convaudit.oracle_queries import SQL
+from convaudit.registry import QUERIES
 
 BAD = ["BroadcastNestedLoopJoin", "CartesianProduct"]
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+# every key with SQL, and the ML keys whose plan holds joins; the others fit a model first and plan none
+@pytest.mark.parametrize("name", sorted({*SQL, "model_report", "chat_audit_lr"}))
 def test_no_theta_or_cross_join(spark, name):
-    df = queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in BAD:
         assert op not in plan, f"{name} plans a {op}"
     # nothing funnels all rows into one task (a global window, sort or limit). A
     # global aggregate's final step is fine: only one partial row per task reaches
     # it. The rank AUC's single-partition window sees one row per range partition.
-    if name == "eval_auc_rank":
+    if name in ("eval_auc_rank", "model_report"):
         return
     lines = [ln for ln in plan.splitlines() if ln.strip()]
     for i, ln in enumerate(lines):
         if "SinglePartition" in ln:
             below = lines[i + 1] if i + 1 < len(lines) else ""
             assert "Aggregate(keys=[]" in below, f"{name} moves all rows into one partition:\n{plan}"
+
+
+def test_hot_order_is_dealt_over_tasks(spark):
+    """Half of all calls on one order: the salted join leaves no task with more than a quarter of them."""
+    from pyspark.sql import functions as F
+
+    from convaudit.operators import flow
+
+    n = 16_000
+    calls = spark.range(n).select(
+        F.lit("2024-01-15").cast("date").alias("v_date"), F.lit(1).alias("source"),
+        F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("order_no"),
+        F.col("id").cast("string").alias("task_no"), F.lit("[]").alias("result"))
+    orders = calls.select("order_no").distinct().select(
+        "order_no", F.lit("T").alias("question_type"), F.lit(True).alias("passes"), F.lit(1).cast("long").alias("n_tickets"),
+        F.lit(1).cast("long").alias("n_passing"), F.lit(1).alias("max_caller_num"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = flow.scan_calls(calls, orders).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r["count"] for r in sizes) == n
+    assert max(r["count"] for r in sizes) <= n // 4
