@@ -12,6 +12,7 @@ from convaudit.llm.bpe import encode_decode
 from convaudit.llm.common import scratch, table
 from convaudit.llm.embeddings import near_vectors
 from convaudit.llm.lines import dedup_units
+from convaudit.llm.oracle import SQL as ORACLE_SQL  # noqa: F401  the entry point reads it here
 from convaudit.llm.packing import pack
 from convaudit.llm.quality import apply_rules
 from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
@@ -21,7 +22,6 @@ from convaudit.llm.warc import read_archives, write_archives
 from convaudit.llm.wordpiece import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 
 
 def query(fn):
