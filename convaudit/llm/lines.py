@@ -1,82 +1,153 @@
 """Substring dedup (operator 9): line hashing.
 
-A unit is a line (or a paragraph, with another separator). It is normalised
-(lower case, runs of white space to one space, trimmed) and hashed to 128 bits.
-Units of the same digest are grouped over the whole corpus; the earliest one by
-(key, text hash, unit number) stays and the others go, also within one document,
-with their offsets in the original text retained. Units of fewer than
-``least_words`` words are never removed.
+A unit is a line (or a paragraph, with another separator), and within a line of
+several sentences also each sentence, so that a passage quoted in the middle of a
+line is found. A unit is normalised (lower case, runs of white space to one space,
+trimmed) and hashed to 128 bits. Units of the same digest are grouped over the
+whole corpus; the earliest one by (key, text hash, place in the text) stays and the
+others go, also within one document, with their offsets in the original text
+retained. Lines of fewer than ``least_words`` words and sentences of fewer than
+``least_sentence`` are never removed (0: no sentence units).
 
 Grouping takes one row of fixed width per unit, aggregated before the shuffle,
 so a line that a third of the documents share meets as a few counts. Only
 digests seen twice or more are joined back, against a stored table, so that the
-engine may split a frequent digest. Texts are cut anew in Arrow batches.
+engine may split a frequent digest. Texts are cut in Arrow batches.
 
-Null texts stay null and have no unit; so have empty texts. Rows equal in key and
-text are one document and get the same result; rows of one key with different
-texts are told apart by the text's hash. Other columns pass through; a clash with
-a column made here is an error that names it.
+A line that loses all its sentences goes as a line does. Null texts stay null and
+have no unit; so have empty texts. Rows equal in key and text are one document and
+get the same result; rows of one key with different texts are told apart by the
+text's hash. Other columns pass through; a clash with a column made here is an
+error that names it.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
+import re
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from convaudit.llm.common import map_slices, stored
 
-SPACE = r"[\x20\x09-\x0D]+"
+SPACES = " \t\n\x0b\x0c\r"
+#: The end of a sentence and the white space after it.
+SENTENCE_END = re.compile(r"[.!?][\x20\x09-\x0D]+")
 ADDED = ["n_units", "n_removed", "removed"]
 
 
-def normalised(unit: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(unit), SPACE, " "))
+def sentences(line: str) -> list[tuple[int, int]]:
+    """Where the sentences of a line start and end, without the white space between them."""
+    out, start = [], 0
+    for m in SENTENCE_END.finditer(line):
+        out.append((start, m.start() + 1))
+        start = m.end()
+    return [*out, (start, len(line))]
+
+
+def words_of(unit: str) -> list[bytes]:
+    return unit.lower().encode().split()  # bytes split on the six ASCII white space characters
+
+
+def units_of(text: str, separator: str, least_words: int, least_sentence: int) -> Iterator[tuple[int, bytes]]:
+    """(place, normalised unit) of all that may go. A place is the line's number times 2**32, plus 1 + a sentence's number."""
+    for i, line in enumerate(text.split(separator)):
+        words = words_of(line)
+        if words and len(words) >= least_words:
+            yield i << 32, b" ".join(words)
+        if 0 < least_sentence < len(words):
+            cuts = sentences(line)
+            if len(cuts) > 1:
+                for s, (a, b) in enumerate(cuts, 1):
+                    own = words_of(line[a:b])
+                    if len(own) >= least_sentence:
+                        yield i << 32 | s, b" ".join(own)
+
+
+def without(text: str, separator: str, gone: set[int]) -> tuple[str, list[tuple[int, int]]]:
+    """The text without the units at the places ``gone``, and where those were."""
+    kept, spans, at, cut = [], [], 0, {g >> 32 for g in gone}
+    for i, line in enumerate(text.split(separator)):
+        if i << 32 in gone:
+            spans.append((at, at + len(line)))
+        elif i not in cut:
+            kept.append(line)
+        else:
+            cuts, left = sentences(line), []
+            for s, (a, b) in enumerate(cuts, 1):
+                if i << 32 | s in gone:
+                    spans.append((at + a, at + b))
+                else:
+                    left.append(line[a:cuts[s][0] if s < len(cuts) else b])
+            rest = "".join(left)
+            if i << 32 | len(cuts) in gone:
+                rest = rest.rstrip(SPACES)
+            if rest.strip(SPACES):
+                kept.append(rest)
+        at += len(line) + len(separator)
+    return separator.join(kept), spans
+
+
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def digests(df: DataFrame, key: str, text: str, separator: str, least_words: int, least_sentence: int) -> DataFrame:
+    """One row per unit that may go: ``key``, the text's hash, the place, and a digest of two longs."""
+    rows = df.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.xxhash64(text).alias("of"), F.col(text).alias("text"))
 
-
-def units_of(df: DataFrame, key: str, text: str, separator: str, least_words: int) -> DataFrame:
-    """One row per unit that may go: the document, the unit's number and a digest of two longs."""
-    units = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("of"), F.posexplode(F.split(text, separator)).alias("unit", "raw"))
-    body = units.select("key", "of", "unit", normalised(F.col("raw")).alias("body"))
-    words = F.char_length("body") - F.char_length(F.replace("body", F.lit(" "), F.lit(""))) + 1
-    return (body.where((F.col("body") != "") & (words >= least_words))
-            .select("key", "of", "unit", F.xxhash64("body").alias("h1"), F.xxhash64(F.lit("second"), "body").alias("h2")))
-
-
-def removals(df: DataFrame, key: str, text: str, separator: str, least_words: int) -> DataFrame:
-    """``key``, ``of`` and the numbers of the units that go, for documents that lose any."""
-    units = units_of(df, key, text, separator, least_words)
-    place = F.struct("key", "of", "unit")
-    first = units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        source, place, h1, h2 = [], [], [], []
+        digest = xxhash.xxh3_128_intdigest
+        for row, t in enumerate(batch.column(2).to_pylist()):
+            for at, body in units_of(t, separator, least_words, least_sentence):
+                h = digest(body)
+                source.append(row)
+                place.append(at)
+                h1.append(signed(h >> 64))
+                h2.append(signed(h & (1 << 64) - 1))
+        own = pa.array(source, pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0).take(own), batch.column(1).take(own), *(pa.array(x, pa.int64()) for x in (place, h1, h2))],
+                                          ["key", "of", "place", "h1", "h2"])
+
+    return map_slices(rows, run, f"key {rows.schema['key'].dataType.simpleString()}, of long, place long, h1 long, h2 long")
+
+
+def removals(df: DataFrame, key: str, text: str, separator: str, least_words: int, least_sentence: int) -> DataFrame:
+    """``key``, ``of`` and the places of the units that go, for documents that lose any."""
+    units = digests(df, key, text, separator, least_words, least_sentence)
+    own = F.struct("key", "of", "place")
+    first = units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(own).alias("first"))
     shared = stored(first.where("n > 1").select("h1", "h2", "first"), "shared-units")
-    gone = units.join(shared, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
-    return gone.groupBy("key", "of").agg(F.collect_set("unit").alias("gone"))
+    gone = units.join(shared, ["h1", "h2"]).where(~own.eqNullSafe(F.col("first")))
+    return gone.groupBy("key", "of").agg(F.collect_set("place").alias("gone"))
 
 
-def dedup_units(df: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", least_words: int = 5) -> DataFrame:
-    """``df`` with the kept text in ``text``, ``n_units``, ``n_removed`` and ``removed`` (start, end in the original)."""
+def dedup_units(df: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", least_words: int = 5,
+                least_sentence: int = 8) -> DataFrame:
+    """``df`` with the kept text in ``text``, ``n_units`` (lines with a word), ``n_removed`` and ``removed`` (start, end in the original)."""
     clash = {*ADDED, "__of", "__key", "__gone"} & set(df.columns)
     if clash:
         raise ValueError(f"columns to rename first: {sorted(clash)}")
-    gone = removals(df, key, text, separator, least_words).select(F.col("key").alias("__key"), F.col("of").alias("__of"), F.col("gone").alias("__gone"))
+    gone = removals(df, key, text, separator, least_words, least_sentence).select(
+        F.col("key").alias("__key"), F.col("of").alias("__of"), F.col("gone").alias("__gone"))
     rows = df.join(gone, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__of")), "left").drop("__key", "__of")
     at, last = df.columns.index(text), len(df.columns)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, n_units, n_removed, removed = [], [], [], []
+        texts, n_units, removed = [], [], []
         for t, drop in zip(batch.column(at).to_pylist(), batch.column(last).to_pylist()):
-            lines, drop = (t or "").split(separator), set(drop or ())
-            n_units.append(sum(1 for x in lines if x.strip(" \t\n\x0b\x0c\r")))
-            n_removed.append(len(drop))
-            starts = [0, *accumulate(len(x) + len(separator) for x in lines)] if drop else []
-            removed.append([{"start": starts[i], "end": starts[i] + len(lines[i])} for i in sorted(drop)])
-            texts.append(separator.join([x for i, x in enumerate(lines) if i not in drop]) if drop else t)
+            n_units.append(sum(1 for x in (t or "").split(separator) if x.strip(SPACES)))
+            kept, spans = without(t, separator, set(drop)) if drop else (t, [])
+            texts.append(kept)
+            removed.append([{"start": a, "end": b} for a, b in spans])
         spans = pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
         columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(last)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(n_units, pa.int64()), pa.array(n_removed, pa.int64()), spans],
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n_units, pa.int64()), pa.array([len(x) for x in removed], pa.int64()), spans],
                                           [*batch.schema.names[:last], *ADDED])
 
     span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])

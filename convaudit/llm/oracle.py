@@ -73,15 +73,31 @@ FROM (SELECT page_id, t, sha1(t) AS h, min(page_id) OVER (PARTITION BY t) AS fir
       FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))"""
 
 SQL["op9_line_dedup"] = r"""
-WITH u AS (SELECT doc_id, unnest(range(0, len(ls))) AS unit, unnest(ls) AS raw
+WITH l AS (SELECT doc_id, unnest(range(0, len(ls))) AS line, unnest(ls) AS raw
            FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
-n AS (SELECT *, trim(regexp_replace(lower(raw), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS body FROM u),
-x AS (SELECT *, len(string_split(body, ' ')) >= 5 AS able FROM n),
-y AS (SELECT *, able AND row_number() OVER (PARTITION BY able, body ORDER BY doc_id, unit) > 1 AS gone,
-             sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(raw) - 1 AS b FROM x),
-a AS (SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY unit) FILTER (NOT gone), '') AS text,
-             count(*) FILTER (body <> '') AS n_units, count(*) FILTER (gone) AS n_removed,
-             coalesce(string_agg(CAST(b AS VARCHAR) || ':' || CAST(b + length(raw) AS VARCHAR), ',' ORDER BY unit) FILTER (gone), '') AS removed
-      FROM y GROUP BY doc_id)
-SELECT d.doc_id, a.text, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
+p AS (SELECT *, string_split_regex(raw, '[.!?][\x20\x09-\x0D]+') AS ps, regexp_extract_all(raw, '[.!?][\x20\x09-\x0D]+') AS gs,
+             sum(length(raw) + 1) OVER (PARTITION BY doc_id ORDER BY line) - length(raw) - 1 AS pos FROM l),
+q AS (SELECT *, unnest(range(1, len(ps) + 1)) AS s FROM p),
+t AS (SELECT doc_id, line, s, raw, pos, len(ps) AS n, ps[s] || coalesce(substr(gs[s], 1, 1), '') AS sent, coalesce(substr(gs[s], 2), '') AS gap,
+             sum(length(ps[s]) + length(coalesce(gs[s], ''))) OVER (PARTITION BY doc_id, line ORDER BY s) - length(ps[s]) - length(coalesce(gs[s], '')) AS a
+      FROM q),
+u AS (SELECT doc_id, line, 0 AS s, raw AS unit, 5 AS least FROM p UNION ALL SELECT doc_id, line, s, sent, 8 FROM t WHERE n > 1),
+n AS (SELECT *, trim(regexp_replace(lower(unit), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS body FROM u),
+g AS (SELECT doc_id, line, s FROM (
+        SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, line, s) AS r FROM n
+        WHERE body <> '' AND len(string_split(body, ' ')) >= least) WHERE r > 1),
+k AS (SELECT t.*, gl.line IS NOT NULL AS lost, gs.line IS NOT NULL AS gone
+      FROM t LEFT JOIN g gl ON gl.doc_id = t.doc_id AND gl.line = t.line AND gl.s = 0
+             LEFT JOIN g gs ON gs.doc_id = t.doc_id AND gs.line = t.line AND gs.s = t.s),
+r AS (SELECT doc_id, line, any_value(raw) AS raw, any_value(pos) AS pos, bool_or(lost) AS lost, bool_or(gone) AS cut,
+             coalesce(string_agg(sent || gap, '' ORDER BY s) FILTER (NOT gone), '') AS rest, bool_or(gone AND s = n) AS end_gone,
+             list(struct_pack(b := pos + a, e := pos + a + length(sent)) ORDER BY s) FILTER (gone) AS cuts FROM k GROUP BY doc_id, line),
+v AS (SELECT *, CASE WHEN NOT cut THEN raw WHEN end_gone THEN rtrim(rest, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) ELSE rest END AS txt,
+             CASE WHEN lost THEN [struct_pack(b := pos, e := pos + length(raw))] WHEN cut THEN cuts ELSE [] END AS spans FROM r),
+a AS (SELECT doc_id, coalesce(string_agg(txt, chr(10) ORDER BY line)
+               FILTER (NOT lost AND (NOT cut OR regexp_matches(txt, '[^\x20\x09-\x0D]'))), '') AS text,
+             count(*) FILTER (regexp_matches(raw, '[^\x20\x09-\x0D]')) AS n_units, CAST(sum(len(spans)) AS BIGINT) AS n_removed,
+             flatten(list(spans ORDER BY line)) AS every FROM v GROUP BY doc_id)
+SELECT d.doc_id, a.text, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
+       coalesce(array_to_string(list_transform(every, lambda x: CAST(x.b AS VARCHAR) || ':' || CAST(x.e AS VARCHAR)), ','), '') AS removed
 FROM documents d LEFT JOIN a USING (doc_id)"""

@@ -185,3 +185,54 @@ def test_paragraph_units(spark):
     df = spark.createDataFrame([(1, f"{LONG}\nx\n\ny"), (2, f"z\n\n{LONG}\nx")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in lines.dedup_units(df, separator="\n\n").collect()}
     assert got == {1: f"{LONG}\nx\n\ny", 2: "z"}
+
+
+def test_passage_in_the_middle_of_lines(spark):
+    one, two = "Here is a passage that several documents quote.", "It goes on for a second sentence of some length!"
+    rows = [(1, f"Some start of its own {one} {two} And an end."), (2, f"Another start {one}  {two} Short end."), (3, f"{one} {two}"),
+            (4, f"Begin. {two} {two}"), (5, f"x\n{two}\n{one} {two} ")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.text, [rows[r.doc_id - 1][1][s.start:s.end] for s in r.removed]) for r in lines.dedup_units(df).collect()}
+    assert got[1] == (rows[0][1], [])
+    assert got[2] == (f"Another start {one}  Short end.", [two])
+    assert got[3] == (one, [two])
+    assert got[4] == ("Begin.", [two, two])
+    assert got[5] == ("x", [two, f"{one} {two} "])
+    plain = {r.doc_id: r.text for r in lines.dedup_units(df, least_sentence=0).collect()}
+    assert plain == dict(rows)
+
+
+def plain_lines(rows, least=5, sentence=8):
+    """rows: (key, text), in order. Kept texts, unit by unit."""
+    import re
+
+    seen, out = set(), []
+    norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
+    for k, t in rows:
+        kept = []
+        for line in t.split("\n"):
+            body, parts, gone = norm(line), re.split(r"(?<=[.!?])([\x20\x09-\x0D]+)", line), []
+            whole = body != "" and len(body.split(" ")) >= least
+            lost = whole and body in seen
+            if whole:
+                seen.add(body)
+            for i in range(0, len(parts), 2) if len(parts) > 1 else []:
+                own = norm(parts[i])
+                if own and len(own.split(" ")) >= sentence:
+                    gone += [i] if own in seen else []
+                    seen.add(own)
+            if lost:
+                continue
+            if not gone:
+                kept.append(line)
+                continue
+            rest = "".join(parts[i] + (parts[i + 1] if i + 1 < len(parts) else "") for i in range(0, len(parts), 2) if i not in gone)
+            rest = rest.rstrip(lines.SPACES) if len(parts) - 1 in gone else rest
+            kept += [rest] if rest.strip(lines.SPACES) else []
+        out.append((k, "\n".join(kept)))
+    return out
+
+
+def test_line_query_equals_the_plain_version(spark):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(SF001 + "/documents.parquet").collect())
+    assert sorted((r.doc_id, r.text) for r in QUERIES["op9_line_dedup"](spark, SF001).collect()) == plain_lines(rows)

@@ -13,7 +13,7 @@ from convaudit.llm import packing, simhash
 from convaudit.llm.oracle import SQL
 from convaudit.llm.queries import QUERIES, TOXIC, toxicity_model
 from convaudit.testing import compare
-from test_dedup import smallest_reachable
+from test_dedup import plain_lines, smallest_reachable
 
 
 def test_every_operator_is_registered():
@@ -37,18 +37,8 @@ def plain_pipeline(spark, rows, sf_dir):
     keys = sorted(fps)
     root = smallest_reachable(keys, [(a, b) for a in keys for b in keys if a < b and bin(fps[a] ^ fps[b]).count("1") <= 3])
     rows = sorted((k, t) for k, t in rows if root[k] == k)
-    seen, left = set(), []
-    for k, t in rows:
-        kept = []
-        for line in (t or "").split("\n"):
-            body = re.sub(r"[\x20\x09-\x0D]+", " ", line.lower()).strip(" ")
-            if len(body.split(" ")) < 5 or body not in seen:
-                kept.append(line)
-            if len(body.split(" ")) >= 5:
-                seen.add(body)
-        text = "\n".join(kept)
-        if text.strip(" ") or len(kept) == len((t or "").split("\n")):
-            left.append((k, text))
+    rows = [(k, t or "") for k, t in rows]
+    left = [(k, new) for (k, new), (_, old) in zip(plain_lines(rows), rows) if new == old or new.strip(" ")]
     out, encoder = set(), packing.Encoder(open(corpus_pipeline.public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
     from convaudit.llm.secret_scan import MASK
 
