@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig, FlowConfig
 from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
+from convaudit.ml import registry
 from convaudit.ml import train as ml_train
 from convaudit.ml.features import FeatureConfig, feature_pipeline, with_tokens
 from convaudit.ml.score import ModelScorer, neg_prob, predict_label
@@ -488,6 +489,37 @@ def ensemble_neg_prob(spark, sf):
     return training.score_test(training.fit_models(train, ("lr", "rf"), ML_CFG), test)
 
 
+@query
+def ml_output_check(spark, sf):
+    """What SQL can know of the models' outputs on held-out rows: P(negative) within 0 to 1, hard
+    labels that agree with it, the ensemble as the mean of its parts."""
+    train, test = _split(spark, sf)
+    models = training.fit_models(train, ("lr", "rf"), ML_CFG)
+    p = training.score_test(models, test)
+    for name, m in models.items():
+        p = p.join(predict_label(m, test.select("doc_id", "text")).select("doc_id", F.col("prediction").alias(f"_{name}")), "doc_id")
+    parts = [F.col(f"p_{n}") for n in models]
+    in_range, agrees = F.lit(True), F.lit(True)
+    for n, c in zip(models, parts):
+        in_range = in_range & c.between(0.0, 1.0)
+        agrees = agrees & ((c == 0.5) | ((F.col(f"_{n}") == 0.0) == (c > 0.5)))
+    mean = F.abs(F.col("p_neg") - mean_of(parts)) < 1e-12
+    return p.select("doc_id", "label", in_range.alias("in_range"), agrees.alias("labels_agree"), mean.alias("mean_of_parts"))
+
+
+@query
+def model_reload(spark, sf):
+    """A model saved twice and the latest version loaded; its scores are the fitted model's."""
+    train, test = _split(spark, sf)
+    root, m = _folder(spark, "models"), ml_train.fit_lr(train, ML_CFG)
+    for version in ("20240101-000000", "20240102-000000"):
+        registry.save_model(spark, m, root, "lr", version=version)
+    rows = test.select("doc_id", "text", "label")
+    both = neg_prob(m, rows, "p").join(neg_prob(registry.load_model(spark, root, "lr"), rows.select("doc_id", "text"), "q").drop("text"), "doc_id")
+    return both.select("doc_id", "label", (F.abs(F.col("p") - F.col("q")) < 1e-12).alias("same"),
+                       F.lit(registry.latest_version(spark, root, "lr")).alias("version"))
+
+
 @query
 def model_report(spark, sf):
     train, test = _split(spark, sf)
