@@ -17,7 +17,7 @@ from convaudit.llm.packing import pack
 from convaudit.llm.quality import apply_rules
 from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
 from convaudit.llm.simhash import near_duplicates
-from convaudit.llm.toxicity import fit, with_scores
+from convaudit.llm.toxicity import fit, sample_labels, with_scores
 from convaudit.llm.warc import read_archives, write_archives
 from convaudit.llm.wordpiece import token_counts
 
@@ -42,9 +42,10 @@ def held_out(key: str = "doc_id"):
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str):
-    """A model learned from the labelled documents that aren't held out."""
-    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    return fit(docs.where(~held_out()).join(labels, "doc_id"), "toxic")
+    """A model learned from labelled documents that aren't held out."""
+    labels = sample_labels(table(spark, sf_dir, "labels").where(~held_out()), "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fit(docs.join(F.broadcast(labels), "doc_id"), "toxic")  # at most 30,000 rows of two numbers
 
 
 #: A text at or above this score is predicted toxic.

@@ -6,11 +6,14 @@ much likelier it is in texts of label 1 than of label 0, from the document count
 of all labelled rows (one row per feature and task is shuffled). A logistic
 regression over these scaled features, with an L2 penalty, gives the score.
 
-The regression is fitted on a sample of about ``fit_rows`` distinct labelled texts,
-those with the smallest hashes, and on the ``fit_features`` features that tell the
-labels apart best (G-test over all labelled rows). Both are parameters and bound
-what the driver receives: lists of feature numbers, never texts. The model itself, two arrays of fixed size, goes
-to the tasks as a broadcast; scoring is one pass without a shuffle.
+``sample_labels`` bounds the labelled rows (a parameter): those with the smallest
+hashes of their keys. So few of them can be sent to every task, and the texts they
+belong to are read where they lie. The regression is fitted on about ``fit_rows``
+distinct texts among them, those with the smallest hashes, and on the
+``fit_features`` features that tell the labels apart best (G-test). Both are
+parameters and bound what the driver receives: lists of feature numbers, never
+texts. The model, an array of fixed size, goes to the tasks as a broadcast;
+scoring is one pass without a shuffle.
 
 Null texts are empty; empty texts have no n-gram and the score of the intercept
 alone. Labelled rows without a label or without a text count for nothing. Where a
@@ -80,6 +83,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
+def sample_labels(labels: DataFrame, label: str, key: str = "doc_id", most: int = 30_000) -> DataFrame:
+    """At most ``most`` rows of ``key`` and ``label`` (0 or 1), with the smallest hashes of the key; small enough to broadcast."""
+    rows = labels.select(key, F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    return rows.orderBy(F.xxhash64(key), key, label).limit(most)
+
+
 def feature_counts(rows: DataFrame, bits: int, orders: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Rows of each label (0, 1), and in how many of them each feature is found."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -228,6 +228,13 @@ def test_classifier_learns_and_repeats(spark):
     assert all((r.score >= 0.3) == bool(r.toxic) for r in rows)
 
 
+def test_label_sample_is_bounded_and_repeats(spark):
+    labels = spark.range(500).selectExpr("id as doc_id", "cast(id % 3 as int) as toxic").union(spark.createDataFrame([(None, 1), (7, None)], "doc_id long, toxic int"))
+    few = {tuple(r) for r in toxicity.sample_labels(labels, "toxic", most=50).collect()}
+    assert len(few) == 50 and few == {tuple(r) for r in toxicity.sample_labels(labels.repartition(7), "toxic", most=50).collect()}
+    assert toxicity.sample_labels(labels, "toxic").count() == 334
+
+
 def test_scores_of_odd_rows(spark):
     model = toxicity.fit(labelled(spark), "toxic")
     df = spark.createDataFrame([(1, None, 1), (2, "", 1), (3, "vilefool " * 50_000, 1), (3, "x", 1)], "doc_id long, text string, lang int")
