@@ -50,8 +50,11 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, day: str, col:
 
 
 def run_chat(spark: SparkSession, chat: str, lexicon: str, models: str, out: str, names: list[str],
-             cfg: AuditConfig, canned: str | None = None) -> DataFrame:
-    day = day_scan(spark.read.parquet(chat), "create_time", cfg.day)
+             cfg: AuditConfig, canned: str | None = None, whole_table: bool = False) -> DataFrame:
+    rows = spark.read.parquet(chat)
+    if whole_table:
+        rows = schemas.require_table(rows, schemas.CHAT_TABLE, schemas.CHAT_RECORD, "chat table")
+    day = day_scan(rows, "create_time", cfg.day)
     cn = spark.read.parquet(canned) if canned else None
     res = audit.chat_audit(day, lexops.read_lexicon(spark, lexicon), _scorer(spark, models, names), cfg, cn)
     write_partitioned(res, out, targets=[{"v_date": cfg.day, "source": SOURCE_CHAT}])
@@ -59,8 +62,11 @@ def run_chat(spark: SparkSession, chat: str, lexicon: str, models: str, out: str
 
 
 def run_speech(spark: SparkSession, speech: str, lexicon: str, models: str, out: str, names: list[str],
-               cfg: AuditConfig) -> DataFrame:
-    day = spark.read.parquet(speech).where(F.col("v_date") == F.lit(cfg.day).cast("date"))
+               cfg: AuditConfig, whole_table: bool = False) -> DataFrame:
+    rows = spark.read.parquet(speech)
+    if whole_table:
+        rows = schemas.require_table(rows, schemas.SPEECH_TABLE, schemas.SPEECH_RECORD, "speech table")
+    day = rows.where(F.col("v_date") == F.lit(cfg.day).cast("date"))
     res = audit.speech_audit(day, lexops.read_lexicon(spark, lexicon), _scorer(spark, models, names), cfg)
     write_partitioned(res, out, targets=[{"v_date": cfg.day, "source": SOURCE_SPEECH}])
     return _stored(spark, out, res.schema, cfg.day).where(F.col("source") == SOURCE_SPEECH)
@@ -129,6 +135,7 @@ def _parser() -> argparse.ArgumentParser:
                        default=CHAT_THRESHOLD if name == "chat" else SPEECH_THRESHOLD)
         s.add_argument("--select-mode", default="intended", choices=["intended", "faithful"])
         s.add_argument("--filter-chars", default=FILTER_CHARS)
+        s.add_argument("--whole-table", action="store_true", help="the input must have the source table's full layout")
         if name == "chat":
             s.add_argument("--canned", default=None)
     d = sub.add_parser("daily")
@@ -173,9 +180,9 @@ def main(argv: list[str] | None = None) -> None:
                       **{key: a.threshold})
         names = a.names.split(",")
         if a.job == "chat":
-            run_chat(spark, a.chat, a.lexicon, a.models, a.out, names, cfg, a.canned)
+            run_chat(spark, a.chat, a.lexicon, a.models, a.out, names, cfg, a.canned, a.whole_table)
         else:
-            run_speech(spark, a.speech, a.lexicon, a.models, a.out, names, cfg)
+            run_speech(spark, a.speech, a.lexicon, a.models, a.out, names, cfg, a.whole_table)
     elif a.job == "daily":
         cfg = AuditConfig(prediction_date=a.date or days_ago(a.day_offset), chat_threshold=a.chat_threshold,
                           speech_threshold=a.speech_threshold, filter_chars=a.filter_chars)

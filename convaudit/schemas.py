@@ -64,6 +64,13 @@ FLOW_RESULT = T.StructType([
     T.StructField("text", S),
 ])
 
+# Whole source tables, as the reference's queries return them: it stops on a row of another
+# width. Columns without a known name are numbered.
+CHAT_TABLE = ["column_0", "create_time", "chat_records", "session_id", "time_long", "user_id", "agent_id", "begin_time",
+              "end_time", "column_9"]
+SPEECH_TABLE = ["task_no", "business_no", "order_no", "score_qingxu", "score_caozuo", "voice_address", "caller_role", "dialed_role",
+                "creator_ucaccount", "start_time", "stop_time", "result", "v_date"]
+
 # JSON payload shapes.
 CHAT_JSON = T.ArrayType(T.MapType(S, S))
 SPEECH_JSON = T.StructType([
@@ -99,3 +106,14 @@ def require(df: DataFrame, schema: T.StructType, name: str = "input", extra: lis
     if problems:
         raise SchemaMismatch(f"{name}: " + "; ".join(problems))
     return df.select(*[f.name for f in schema.fields], *(extra or []))
+
+
+def require_table(df: DataFrame, columns: list[str], schema: T.StructType, name: str = "input") -> DataFrame:
+    """Check that ``df`` is the whole source table: these columns in this order, those that are read typed
+    as in ``schema``. Returns the columns that are read."""
+    if df.columns != columns:
+        missing, extra = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]
+        raise SchemaMismatch(f"{name}: {len(df.columns)} columns, {len(columns)} expected"
+                             + (f"; missing {missing}" if missing else "") + (f"; unknown {extra}" if extra else "")
+                             + ("; in another order" if not missing and not extra else ""))
+    return require(df, schema, name)

@@ -75,6 +75,21 @@ def test_schema_gate_rejects_wrong_layout(spark):
         schemas.require(wrong_type, schemas.TICKET)
 
 
+def test_whole_tables_are_checked_column_by_column(spark):
+    import pytest
+
+    from convaudit import schemas
+
+    for names, schema, rows in ((schemas.CHAT_TABLE, schemas.CHAT_RECORD, fx.chat_json(spark, SF01)),
+                                (schemas.SPEECH_TABLE, schemas.SPEECH_RECORD, fx.speech_json(spark, SF01))):
+        whole = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names])
+        assert len(whole.columns) == len(names)
+        assert schemas.require_table(whole, names, schema).columns == schema.fieldNames()
+        for bad in (whole.drop(names[0]), whole.withColumn("more", F.lit(1)), whole.select(*reversed(names)), rows):
+            with pytest.raises(schemas.SchemaMismatch):
+                schemas.require_table(bad, names, schema)
+
+
 def test_day_scan_pushes_filter_to_parquet(spark):
     df = Q["chat_day_scan"](spark, SF01)
     plan = df._jdf.queryExecution().executedPlan().toString()
