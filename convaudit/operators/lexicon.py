@@ -77,14 +77,14 @@ def semi_join_lexicon(df: DataFrame, lexicon: DataFrame, mode: str = "substring"
         lens = [r[0] for r in lex.select(F.length("_e").alias("n")).distinct().collect()]  # distinct lengths only
         if 0 in lens:  # the empty entry is contained in every text
             return df
-        joined = F.concat_ws("", F.col("_tokens"))
-
-        def grams(n: int):
+        def grams(joined, n: int):
             # one-argument lambda: a second parameter would be bound to the element index
             return F.transform(F.sequence(F.lit(1), F.greatest(F.length(joined) - n + 1, F.lit(0))),
                                lambda i: F.substring(joined, i, F.lit(n)))
 
-        subs = F.array_distinct(F.flatten(F.array(*[grams(n) for n in sorted(lens)])))
+        # the joined text is the element of a one-entry array, so it is built once and not for each substring
+        subs = F.element_at(F.transform(F.array(F.concat_ws("", F.col("_tokens"))), lambda j: F.array_distinct(
+            F.flatten(F.array(*[grams(j, n) for n in sorted(lens)])))), 1)
         probe = each.select("_t1", "_t2", F.explode(subs).alias("_e")).where(F.length("_e") > 0)
     else:
         raise ValueError(f"unknown sensitive mode {mode!r}")
