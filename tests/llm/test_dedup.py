@@ -202,6 +202,25 @@ def test_passage_in_the_middle_of_lines(spark):
     assert plain == {**dict(rows), 5: f"x\n{two}"}  # its last line equals that of 3
 
 
+def test_passage_cut_off_inside_sentences(spark):
+    rng = random.Random(11)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage = words(80)
+    ends = [(words(9), words(9)) for _ in range(3)]
+    df = spark.createDataFrame([(k, f"{a}  {passage} {b}") for k, (a, b) in enumerate(ends)], "doc_id long, text string")
+    texts = {r.doc_id: r.text for r in df.collect()}
+    assert {r.doc_id: r.text for r in lines.dedup_units(df).collect()} == texts  # no sentence ends: all of it stays
+    got = {r.doc_id: r for r in lines.dedup_units(df, window=5).collect()}
+    assert got[0].text == texts[0]
+    for k in (1, 2):
+        a, b = ends[k]
+        assert got[k].text.startswith(a) and got[k].text.endswith(b) and len(got[k].text.split()) <= 18 + 40
+        gone = [texts[k][s.start:s.end] for s in got[k].removed]
+        assert gone and all(x in passage for x in gone)
+        assert len(got[k].text.split()) + sum(len(x.split()) for x in gone) == 98
+    assert lines.starts_of([b"a"] * 50, 5) == [0, 1]
+
+
 def plain_lines(rows, least=5, sentence=8):
     """rows: (key, text), in order. Kept texts, unit by unit."""
     import re
