@@ -3,15 +3,16 @@
 A text is lower-cased, its white space collapsed, and its distinct n-grams are
 hashed to ``1 << bits`` features. A feature's value is its log-count ratio: how
 much likelier it is in texts of label 1 than of label 0, from the document counts
-of all labelled rows (one row per feature and task is shuffled). A logistic
+of the rows given to ``fit`` (one row per feature and task is shuffled). A logistic
 regression over these scaled features, with an L2 penalty, gives the score.
 
 ``sample_labels`` bounds the labelled rows (a parameter): those with the smallest
 hashes of their keys. So few of them can be sent to every task, and the texts they
-belong to are read where they lie. The regression is fitted on about ``fit_rows``
-distinct texts among them, those with the smallest hashes, and on the
-``fit_features`` features that tell the labels apart best (G-test). Both are
-parameters and bound what the driver receives: lists of feature numbers, never
+belong to are read where they lie. The regression is fitted on the distinct texts of
+all of them, and on the ``fit_features`` features that tell the labels apart best
+(G-test). Of more than ``fit_rows`` rows it takes about that many distinct texts,
+those with the smallest hashes; the default is the bound of ``sample_labels``. Both
+are parameters and bound what the driver receives: packed feature numbers, never
 texts. The model, an array of fixed size, goes to the tasks as a broadcast;
 scoring is one pass without a shuffle.
 
@@ -35,6 +36,8 @@ from convaudit.llm.common import map_slices, texts_of
 
 ORDERS = (3, 4, 5)
 BLOCK = 1 << 20
+#: Labelled rows that a model is learned from at most.
+LABELS = 30_000
 
 
 class Grams:
@@ -83,7 +86,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def sample_labels(labels: DataFrame, label: str, key: str = "doc_id", most: int = 30_000) -> DataFrame:
+def sample_labels(labels: DataFrame, label: str, key: str = "doc_id", most: int = LABELS) -> DataFrame:
     """At most ``most`` rows of ``key`` and ``label`` (0 or 1), with the smallest hashes of the key; small enough to broadcast."""
     rows = labels.select(key, F.col(label).cast("int").alias(label)).where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     return rows.orderBy(F.xxhash64(key), key, label).limit(most)
@@ -157,7 +160,7 @@ def logistic(rows: list[np.ndarray], label: np.ndarray, value: np.ndarray, penal
 
 
 def fit(labelled: DataFrame, label: str, key: str = "doc_id", text: str = "text", bits: int = 18, orders: tuple[int, ...] = ORDERS,
-        fit_rows: int = 8_000, fit_features: int = 2048, penalty: float = 1e-4, rounds: int = 300) -> Model:
+        fit_rows: int = LABELS, fit_features: int = 2048, penalty: float = 1e-4, rounds: int = 300) -> Model:
     """A model from rows with ``key``, ``text`` and a 0/1 ``label``."""
     rows = labelled.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), F.col(text).alias("text")).where(
         "label in (0, 1) and text is not null")
@@ -173,15 +176,15 @@ def fit(labelled: DataFrame, label: str, key: str = "doc_id", text: str = "text"
 
     def present(batch: pa.RecordBatch) -> pa.RecordBatch:
         grams = Grams(bits, orders)
-        found = [np.sort(f[f >= 0]) for f in (place[grams.of(t)] for t in texts_of(batch, 2))]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["at", "label", "features"])
+        found = [np.sort(f[f >= 0]).astype("<i4").tobytes() for f in (place[grams.of(t)] for t in texts_of(batch, 2))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["at", "label", "features"])
 
     # copies hash alike, so a text stands once for each label however often it is repeated
     below = min(2**63 - 1, round(-2**63 + 2**64 * fit_rows / int(total.sum())))
     sample = rows.select(F.xxhash64("text").alias("at"), "label", "text").where(F.col("at") <= below).dropDuplicates(["at", "label"])
-    got = map_slices(sample, present, "at long, label int, features array<long>").collect()
+    got = map_slices(sample, present, "at long, label int, features binary").collect()
     got.sort(key=lambda r: (r.at, r.label, r.features))
-    w, b = logistic([np.array(r.features, np.int64) for r in got], np.array([r.label for r in got], float), value, penalty, rounds)
+    w, b = logistic([np.frombuffer(r.features, "<i4") for r in got], np.array([r.label for r in got], float), value, penalty, rounds)
     weight[chosen] = w * value
     return Model(bits, orders, weight, b)
 

@@ -228,6 +228,21 @@ def test_classifier_learns_and_repeats(spark):
     assert all((r.score >= 0.3) == bool(r.toxic) for r in rows)
 
 
+def test_regression_takes_every_sampled_row(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "logistic", lambda rows, label, *rest: taken.append((len(rows), sum(label))) or (0.0, 0.0))
+    df = spark.range(9_000).selectExpr("id as doc_id", "concat('text ', id) as text", "cast(id % 3 = 0 as int) as toxic")
+    toxicity.fit(df, "toxic")
+    assert taken == [(9_000, 3_000)]
+
+
+def test_held_out_recall(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = QUERIES["op2_toxicity"](spark, "/root/testdata/sf0.1").where("held_out").join(labels, "doc_id").collect()
+    hits, toxic = sum(r.predicted and r.toxic for r in rows), sum(r.toxic for r in rows)
+    assert toxic >= 100 and hits >= 0.8 * toxic and sum(r.predicted and not r.toxic for r in rows) <= 0.01 * len(rows)
+
+
 def test_label_sample_is_bounded_and_repeats(spark):
     labels = spark.range(500).selectExpr("id as doc_id", "cast(id % 3 as int) as toxic").union(spark.createDataFrame([(None, 1), (7, None)], "doc_id long, toxic int"))
     few = {tuple(r) for r in toxicity.sample_labels(labels, "toxic", most=50).collect()}
