@@ -34,9 +34,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group stays."""
-    kept = near_duplicates(docs).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi")
+    """One row of each group stays: the smallest id's, of several texts that of the smallest hash.
+
+    A null id comes after all others, so of a group of null ids alone one row stays
+    too. Of rows equal in id and text any one stays.
+    """
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("of"))
+    kept = near_duplicates(docs.select(own.alias("own"), "text"), key="own").where("own <=> component_id")
+    kept = stored(kept.groupBy("own").agg((F.count(F.lit(1)) > 1).alias("__many")).select(
+        F.col("own.doc_id").alias("__id"), F.col("own.of").alias("__of"), "__many"), "representatives")
+    rows = docs.join(kept, docs.doc_id.eqNullSafe(kept["__id"]) & (F.xxhash64(docs.text) == kept["__of"]))
+    # texts are shuffled only where rows repeat
+    once = rows.where("not __many").unionByName(rows.where("__many").dropDuplicates(["__id", "__of"]))
+    return once.select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,6 +65,15 @@ def test_pipeline_equals_the_plain_version(spark):
     assert len({r.sequence_id for r in got}) == len(got)
 
 
+def test_one_row_of_each_group_stays(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(1, a), (1, a), (2, a), (3, b), (3, c), (4, c), (None, a), (None, d), (None, d), (None, d.upper()), (None, None), (None, ""), (5, "x y z")]
+    got = corpus_pipeline.simhash_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF001).collect()
+    kept = [(r.doc_id, r.text) for r in got]
+    assert {(1, a), (3, b), (3, c), (5, "x y z")} <= set(kept) and len(kept) == 6
+    assert sorted((t or "").lower() for k, t in kept if k is None) == ["", d]
+
+
 def test_stages_keep_the_columns_and_take_odd_tables(spark):
     docs = spark.read.parquet(SF001 + "/documents.parquet")
     odd = docs.limit(3).union(docs.limit(1).withColumns({c: F.lit(None).cast(docs.schema[c].dataType) for c in docs.columns}))
