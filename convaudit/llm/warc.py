@@ -9,9 +9,12 @@ so any store that Spark writes to will do, and a lost task leaves nothing behind
 Reading: files are loaded whole (their size is bounded by ``records_per_file``)
 and walked member by member, or record by record where they aren't compressed.
 A record counts only if its header parses, its block is complete and closed, and
-its block digest, and the payload digest of a response, agree. After a failed
-check the reader searches for the next gzip member or version line that gives a
-valid record, goes on from there, and logs the bytes in between as a gap.
+its block digest, and the payload digest of a response, agree where the header has
+them (digests of unknown algorithms aren't checked). After a failed check the reader
+searches for the next gzip member or version line that gives a valid record, goes on
+from there, and logs the bytes in between as a gap. A member may hold several records,
+and gaps: each has the member's offset and size, and a gap's error says where in the
+member's content it is. A member that is cut short or doesn't inflate is a gap whole.
 
 A null payload is an empty one. Equal rows (key and payload) are each written;
 among rows of the smallest key all are responses. A null key is written without
@@ -77,6 +80,16 @@ class Broken(Exception):
     """A check that a record fails."""
 
 
+def agrees(digest: bytes, data: bytes) -> bool:
+    """Whether a digest field, base 32 or hexadecimal, fits the data; unknown algorithms do."""
+    algorithm, _, value = digest.decode("ascii", "replace").partition(":")
+    algorithm = algorithm.lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    own = hashlib.new(algorithm, data).digest()
+    return value.upper().rstrip("=") == base64.b32encode(own).decode().rstrip("=") or value.lower() == own.hex()
+
+
 def page_key(value: bytes | None) -> str | None:
     return value.decode()[len("<urn:x-page:"):-1] if value and value.startswith(b"<urn:x-page:") else None
 
@@ -101,12 +114,16 @@ def parse(data: bytes, at: int = 0) -> tuple[int, dict]:
     block = data[start:stop]
     if len(block) < int(length) or data[stop:stop + 4] != b"\r\n\r\n":
         raise Broken("block cut short")
-    if fields.get(b"warc-block-digest", b"").decode("ascii", "replace") != f"sha1:{sha1_32(block)}":
+    if b"warc-block-digest" in fields and not agrees(fields[b"warc-block-digest"], block):
         raise Broken("block digest differs")
     http, _, payload = block.partition(b"\r\n\r\n")
     kind = fields.get(b"warc-type", b"").decode("ascii", "replace")
+    if kind == "response" and not fields.get(b"content-type", b"application/http").lower().startswith(b"application/http"):
+        http, payload = b"", block
     digest = fields.get(b"warc-payload-digest", b"").decode("ascii", "replace").removeprefix("sha1:")
-    if kind == "response" and digest != sha1_32(payload):
+    if kind == "response" and b"warc-payload-digest" not in fields:
+        digest = sha1_32(payload)
+    elif kind == "response" and not agrees(fields[b"warc-payload-digest"], payload):
         raise Broken("payload digest differs")
     size = re.search(rb"(?im)^content-length: *(\d+)", http)
     return stop + 4, {"record_type": kind, "key": page_key(fields.get(b"warc-record-id")), "payload_digest": digest,
@@ -129,44 +146,45 @@ def member_at(data: bytes, at: int) -> tuple[int, bytes]:
     return end - len(own.unused_data), b"".join(out)
 
 
-def read_at(data: bytes, at: int) -> tuple[int, dict | None]:
-    """The end of what starts at ``at`` and its record; none for an empty member."""
-    if not data.startswith(MEMBER, at):
-        return parse(data, at)
+def read_at(data: bytes, at: int, members: bool = True) -> tuple[int, list[tuple[str | None, dict | None]]]:
+    """The end of what starts at ``at`` and the (error, record) in it; none for an empty member."""
+    if not members or not data.startswith(MEMBER, at):
+        end, found = parse(data, at)
+        return end, [(None, found)]
     end, content = member_at(data, at)
     if not content:
-        return end, None
-    done, found = parse(content)
-    if done != len(content):
-        raise Broken("member holds more than a record")
-    return end, found
+        return end, []
+    inside = list(salvage(content, members=False))
+    if not any(found for *_, found in inside):
+        raise Broken(inside[0][2])
+    return end, [(why and f"{why} (from byte {a} to {a + size} of the member's content)", found) for a, size, why, found in inside]
 
 
-def next_start(data: bytes, at: int) -> int:
-    places = [p for p in (data.find(MEMBER, at), data.find(LINE, at)) if p >= 0]
+def next_start(data: bytes, at: int, members: bool = True) -> int:
+    places = [p for p in (data.find(MEMBER, at) if members else -1, data.find(LINE, at)) if p >= 0]
     return min(places, default=len(data))
 
 
-def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, dict | None]]:
-    """(offset, size, error, record) of every record and, with an error instead, of every gap."""
+def salvage(data: bytes, members: bool = True) -> Iterator[tuple[int, int, str | None, dict | None]]:
+    """(offset, size, error, record) of every record and, with an error instead, of every gap; gzip members only if ``members``."""
     at, gap, why = 0, None, ""
     while at < len(data):
         try:
-            end, found = read_at(data, at)
+            end, found = read_at(data, at, members)
         except Broken as e:
             if gap is None:
                 gap, why = at, str(e)
-            at = next_start(data, at + 1)
+            at = next_start(data, at + 1, members)
             continue
         # within a gap only a valid record counts as its end; an empty member may be chance
-        if gap is not None and found is None:
-            at = next_start(data, at + 1)
+        if gap is not None and not found:
+            at = next_start(data, at + 1, members)
             continue
         if gap is not None:
             yield gap, at - gap, why, None
             gap = None
-        if found is not None:
-            yield at, end - at, None, found
+        for error, one in found:
+            yield at, end - at, error, one
         at = end
     if gap is not None:
         yield gap, len(data) - gap, why, None

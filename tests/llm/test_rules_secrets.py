@@ -207,6 +207,21 @@ def test_grams_are_distinct_and_cut_blocks_agree(monkeypatch):
     assert len(grams.of("")) == 0 and len(grams.of("a")) > 0 and set(grams.of("Ab\n c")) == set(grams.of("ab c"))
 
 
+def test_archives_of_other_writers():
+    bare = [re.sub(rb"WARC-(Block|Payload)-Digest: [^\r]*\r\n", b"", warc.record(k, None, p)) for k, p in ((1, b"one"), (2, b"two"), (3, b"\x1f\x8b\x08"))]
+    lost = warc.record(4, None, b"four").replace(b"four", b"five")
+    for data in (b"".join(bare), b"".join(map(warc.gzip_member, bare)), warc.gzip_member(b"".join(bare))):
+        got = list(warc.salvage(data))
+        assert [(e, r["key"], r["payload"]) for *_, e, r in got] == [(None, "1", b"one"), (None, "2", b"two"), (None, "3", b"\x1f\x8b\x08")]
+        assert got[0][3]["payload_digest"] == warc.sha1_32(b"one")
+    data = warc.gzip_member(bare[0] + lost + bare[1])
+    a, gap, b = warc.salvage(data)
+    assert a[3]["key"] == "1" and b[3]["key"] == "2" and {x[:2] for x in (a, gap, b)} == {(0, len(data))}
+    assert gap[2] == f"block digest differs (from byte {len(bare[0])} to {len(bare[0] + lost)} of the member's content)"
+    hexed = re.sub(rb"WARC-Block-Digest: [^\r]*", b"WARC-Block-Digest: sha256:" + b"0" * 64, bare[0].replace(b"WARC-Date", b"WARC-Block-Digest: x\r\nWARC-Date"))
+    assert [x[2] for x in warc.salvage(hexed)] == ["block digest differs"]
+
+
 def labelled(spark, n=240):
     rng = random.Random(7)
     rows = []
