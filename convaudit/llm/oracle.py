@@ -46,14 +46,14 @@ FROM m"""
 
 def _matches(order: int, rule: Rule) -> str:
     p = quoted(rule.pattern)
-    return f"""SELECT rid, {order} AS ord, {quoted(rule.name)} AS rule, {rule.least} AS least, unnest(range(1, len(ms) + 1)) AS i, ps, ms, gs
+    return f"""SELECT rid, {order} AS ord, {quoted(rule.name)} AS rule, {rule.least} AS least, {rule.whole} AS whole, unnest(range(1, len(ms) + 1)) AS i, ps, ms, gs
  FROM (SELECT rid, string_split_regex(t, {p}) AS ps, regexp_extract_all(t, {p}, 0) AS ms, regexp_extract_all(t, {p}, {rule.group}) AS gs FROM d)"""
 
 
 SQL["op6_secret_scans"] = f"""
 WITH {DOCS},
 m AS ({" UNION ALL ".join(_matches(i, r) for i, r in enumerate(RULES))}),
-p AS (SELECT rid, ord, rule, length(gs[i]) >= least AS ok, length(ms[i]) AS size,
+p AS (SELECT rid, ord, rule, length(gs[i]) >= least AND length(ms[i]) >= whole AS ok, length(ms[i]) AS size,
              sum(length(ps[i]) + length(ms[i])) OVER (PARTITION BY rid, ord ORDER BY i) AS e FROM m),
 s AS (SELECT rid, ord, rule, e - size AS b, rule || ':' || CAST(e - size AS VARCHAR) || ':' || CAST(e AS VARCHAR) AS span FROM p WHERE ok),
 a AS (SELECT rid, {", ".join(f"count(*) FILTER (rule = '{r}') AS n_{r}" for r in BASE)},
