@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from convaudit.session import ensure_checkpoint_dir
 
-#: Rows of one Arrow slice that Python handles at a time; bounds the output held in memory.
-SLICE_ROWS = 512
+#: Rows and bytes of one Arrow slice that Python handles at a time; they bound the output held in memory.
+SLICE_ROWS, SLICE_BYTES = 512, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,14 +39,24 @@ def drop_stored(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of at most ``rows`` rows and ``size`` bytes; a larger row is a slice of its own."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        if part.nbytes <= size or part.num_rows == 1:
+            yield part
+        else:
+            yield from slices(part, (part.num_rows + 1) // 2, size)
+
+
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType,
-               rows: int = SLICE_ROWS) -> DataFrame:
-    """``mapInArrow`` that hands ``fn`` at most ``rows`` rows at a time."""
+               rows: int = SLICE_ROWS, size: int = SLICE_BYTES) -> DataFrame:
+    """``mapInArrow`` that hands ``fn`` at most ``rows`` rows and about ``size`` bytes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                yield fn(batch.slice(at, rows))
+            for part in slices(batch, rows, size):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
 

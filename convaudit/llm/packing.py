@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from convaudit.llm.bpe import byte_symbols
-from convaudit.llm.common import SLICE_ROWS, texts_of
+from convaudit.llm.common import slices, texts_of
 
 #: The byte-level pre-tokenizer's splitting pattern (a fixed value of that vocabulary kind).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -110,8 +110,7 @@ def pack(df: DataFrame, vocabulary: str, width: int = 2048, end_id: int = 1, key
         encoder, number = built(spec.value), 0
         base = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for part in slices(batch):
                 source, start, length, ids, total, sequence = [], [], [], [], [], []
                 for row, t in enumerate(texts_of(part)):
                     own, first = encoder.encode(t) + end, 0

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convaudit.llm.align import cross_align
 from convaudit.llm.bpe import encode_decode
 from convaudit.llm.common import scratch, table
 from convaudit.llm.embeddings import near_vectors
@@ -110,3 +111,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = cross_align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                      public_tokenizers.path("piece_bpe_32k.model"), groups=lambda g: F.sha2(g, 256))
+    return out.withColumnRenamed("groups", "groups_sha256")
