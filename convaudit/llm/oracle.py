@@ -101,3 +101,31 @@ a AS (SELECT doc_id, coalesce(string_agg(txt, chr(10) ORDER BY line)
 SELECT d.doc_id, a.text, coalesce(n_units, 0) AS n_units, coalesce(n_removed, 0) AS n_removed,
        coalesce(array_to_string(list_transform(every, lambda x: CAST(x.b AS VARCHAR) || ':' || CAST(x.e AS VARCHAR)), ','), '') AS removed
 FROM documents d LEFT JOIN a USING (doc_id)"""
+
+# CRC-32 by its table: 256 entries of the reversed polynomial, made by eight shifts each
+_CRC_TABLE = ("list_transform(range(0, 256), lambda x: list_reduce(range(0, 8), "
+              "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, x))")
+_BYTES = ("flatten(list_transform(string_split({s}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] "
+          "ELSE [CAST(195 AS BIGINT), CAST(unicode(c) - 64 AS BIGINT)] END))")
+_UPPER = "".join(map(chr, range(65, 91)))
+
+SQL["op12_spelling"] = f"""
+WITH RECURSIVE t AS MATERIALIZED (SELECT {_CRC_TABLE} AS tab),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[a-zÀ-ÿ]+')) AS run
+      FROM documents WHERE text IS NOT NULL),
+d AS (SELECT doc_id, run, count(*) AS c FROM r GROUP BY doc_id, run),
+h AS (SELECT run, c, xor(list_reduce({_BYTES.format(s="coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")},
+             lambda acc, b: xor(acc >> 8, tab[(xor(acc, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM d, t),
+x AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM x WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+v AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+                   FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS MATERIALIZED (SELECT DISTINCT * FROM (
+      SELECT a.word AS a, b.word AS b, b.n AS b_n FROM v a JOIN v b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+      UNION ALL SELECT v.word, w.word, w.n FROM v JOIN w ON v.rest = w.word
+      UNION ALL SELECT w.word, v.word, v.n FROM v JOIN w ON v.rest = w.word)),
+k AS (SELECT a, b, b_n, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY b_n DESC, b) AS at FROM p),
+f AS MATERIALIZED (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN b_n >= 2 * n THEN b END AS form, CASE WHEN b_n >= 2 * n THEN b_n END AS form_n
+      FROM w LEFT JOIN k ON k.a = w.word AND k.at = 1),
+g AS (SELECT word, word AS here, form AS next FROM f UNION ALL SELECT g.word, f.word, f.form FROM g JOIN f ON g.next = f.word)
+SELECT f.word, form, here AS root, n, n_near, form_n FROM f JOIN g ON f.word = g.word WHERE next IS NULL"""

@@ -18,6 +18,7 @@ from convaudit.llm.packing import pack
 from convaudit.llm.quality import apply_rules
 from convaudit.llm.secret_scan import BASE, scan_versions, spans_text, with_spans
 from convaudit.llm.simhash import near_duplicates
+from convaudit.llm.spelling import spelling_groups
 from convaudit.llm.toxicity import fit, sample_labels, with_scores
 from convaudit.llm.warc import read_archives, write_archives
 from convaudit.llm.wordpiece import token_counts
@@ -113,6 +114,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 @query
 def op13_cross_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = cross_align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
