@@ -12,6 +12,7 @@ from convaudit.llm.align import cross_align
 from convaudit.llm.bpe import encode_decode
 from convaudit.llm.common import scratch, table
 from convaudit.llm.embeddings import near_vectors
+from convaudit.llm.html_text import extract_pages
 from convaudit.llm.lines import dedup_units
 from convaudit.llm.oracle import SQL as ORACLE_SQL  # noqa: F401  the entry point reads it here
 from convaudit.llm.packing import pack
@@ -114,6 +115,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_pages(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_groups(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
