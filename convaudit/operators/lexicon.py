@@ -1,8 +1,9 @@
 """Lexicon sources and the join forms of the sensitive-word test.
 
 A lexicon is a table of entries. When its row count is within a bound it is
-fetched once and compiled into the predicate (see ``functions.lexicon``);
-beyond the bound it stays distributed and is joined:
+fetched once and compiled into the predicate (see ``functions.lexicon``). Beyond that, in substring
+mode, it is fetched while its characters are within a second bound, and an automaton runs over the sentences (see
+``functions.automaton``). A lexicon larger still stays distributed and is joined:
 
 * token mode: explode the tokens and semi-join them to the entries (J1);
 * substring mode: explode, per sentence, its substrings of exactly the lengths
@@ -55,6 +56,16 @@ def inline_entries(lexicon, max_entries: int) -> list[str] | None:
     return [r.entry for r in rows]
 
 
+def bounded_entries(lexicon, max_chars: int) -> list[str] | None:
+    """The entries as a Python list when they have at most ``max_chars`` characters in all (measured first)."""
+    if not isinstance(lexicon, DataFrame):
+        return [e for e in lexicon if e is not None]
+    each = lexicon.select(F.col(lexicon.columns[0]).alias("entry")).where(F.col("entry").isNotNull()).distinct()
+    if (each.agg(F.sum(F.length("entry") + 1)).first()[0] or 0) > max_chars:
+        return None
+    return [r.entry for r in each.collect()]
+
+
 def _entries(lexicon: DataFrame) -> DataFrame:
     """The entries to join with: no distinct, since a semi join needs none and a plain
     exchange lets a frequent value be split; broadcast when their bytes allow."""

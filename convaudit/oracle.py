@@ -50,6 +50,9 @@ def _extras(rows: str, id_col: str, payload: str, field: str | None = None, null
 
 # name -> (dependencies, body)
 VIEWS: dict[str, tuple[list[str], str]] = {
+    "lexicon": ([], f"""
+        SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(lower(text), {WORD_RE})) AS word FROM documents)
+        WHERE length(word) >= {fx.LEXICON_LENGTH}"""),
     "terms": ([], f"SELECT * FROM (VALUES {_TERMS_VALUES}) t(term)"),
     "rules": ([], f"""
         SELECT CAST(item_id AS INTEGER) AS rule_id, ({_TYPES_SQL})[item_id % 6 + 1] AS question_type,

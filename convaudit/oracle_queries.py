@@ -133,6 +133,8 @@ SQL["sensitive_substring"] = W(f"""
 SELECT session_id, pos FROM chat_sent
 WHERE EXISTS (SELECT 1 FROM (SELECT term FROM terms UNION ALL SELECT '{fx.MIXED_CASE_ENTRY}' || 'ER') t
               WHERE contains(array_to_string(tokens, ''), lower(t.term)))""", "chat_sent", "terms")
+_HIT = "EXISTS (SELECT 1 FROM lexicon WHERE contains(array_to_string(tokens, ''), word))"
+SQL["sensitive_automaton"] = W(f"SELECT session_id, pos FROM chat_sent WHERE len(tokens) > 0 AND {_HIT}", "lexicon", "chat_sent")
 SQL["lexicon_semi"] = W("""
 SELECT DISTINCT s.session_id, s.pos FROM chat_sent s, unnest(s.tokens) AS u(tok)
 WHERE u.tok IN (SELECT term FROM terms)""", "chat_sent", "terms")
@@ -189,7 +191,9 @@ SQL["speech_audit"] = W("SELECT * FROM speech_result", "speech_result")
 SQL["audit_union"] = W("SELECT * FROM audit_rows", "audit_rows")
 SQL["integrate_results"] = W("SELECT * FROM integrated", "integrated")
 SQL["daily_audit"] = W(f"SELECT * FROM integrated WHERE v_date = '{fx.CALL_DATE}'", "integrated")
-SQL["chat_audit_large_lexicon"] = SQL["chat_audit"]
+SQL["chat_audit_joined_lexicon"] = SQL["chat_audit"]
+SQL["chat_audit_large_lexicon"] = W("SELECT * FROM chat_result", "lexicon", "chat_result").replace(
+    "EXISTS (SELECT 1 FROM terms WHERE contains(array_to_string(tokens, ''), term))", _HIT)
 SQL["audit_sink_rerun"] = W(f"SELECT * FROM audit_rows WHERE NOT (source = 2 AND v_date = '{fx.CALL_DATE}')", "audit_rows")
 
 

@@ -10,12 +10,14 @@ per record with one partially aggregated ``max(struct)``.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convaudit import schemas
 from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig
+from convaudit.functions import automaton
 from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, lower_all, tokenize
 from convaudit.operators import lexicon as lexops
@@ -36,13 +38,38 @@ def _folded(lexicon: Lexicon) -> Lexicon:
     return lexicon  # ``sensitive`` folds a list
 
 
-def _with_sensitive(df: DataFrame, lexicon: Lexicon, cfg: AuditConfig) -> DataFrame:
-    """Keep rows whose ``tokens`` hit the lexicon (inline when bounded, else a join)."""
+@dataclass(frozen=True)
+class KnownLexicon:
+    """Entries within a bound, and whether they are tested by an expression or by an automaton."""
+
+    entries: list[str]
+    automaton: bool = False
+
+
+def known_lexicon(lexicon: Lexicon, cfg: AuditConfig) -> KnownLexicon | None:
+    """The lexicon if it is small enough to be known when the plan is made (at most two small jobs find out)."""
     lexicon = _folded(lexicon)
-    entries = lexops.inline_entries(lexicon, cfg.max_inline_lexicon)
-    if entries is not None:
-        return df.where(sensitive(F.col("tokens"), entries, cfg.sensitive_mode))
-    return lexops.semi_join_lexicon(df, lexicon, cfg.sensitive_mode)
+    if not isinstance(lexicon, DataFrame) and (len(lexicon) <= cfg.max_inline_lexicon or cfg.sensitive_mode != "substring"):
+        return KnownLexicon([e for e in lexicon if e is not None])
+    if isinstance(lexicon, DataFrame):
+        entries = lexops.inline_entries(lexicon, cfg.max_inline_lexicon)
+        if entries is not None:
+            return KnownLexicon(entries)
+        if cfg.sensitive_mode != "substring":
+            return None
+    entries = lexops.bounded_entries(lexicon, cfg.max_automaton_chars)
+    return None if entries is None else KnownLexicon([e.lower() for e in entries], True)
+
+
+def _with_sensitive(df: DataFrame, lexicon: Lexicon, cfg: AuditConfig) -> DataFrame:
+    """Keep rows whose ``tokens`` hit the lexicon: an expression, an automaton or a join, by its size."""
+    known = known_lexicon(lexicon, cfg)
+    if known is None:
+        return lexops.semi_join_lexicon(df, _folded(lexicon), cfg.sensitive_mode)
+    if not known.automaton:
+        return df.where(sensitive(F.col("tokens"), known.entries, cfg.sensitive_mode))
+    hit = automaton.hits(df.sparkSession, F.array(F.concat_ws("", "tokens")), known.entries)
+    return df.withColumn("_hit", hit).where(F.get("_hit", 0)).drop("_hit")
 
 
 def chat_candidates(chat: DataFrame, lexicon: Lexicon, cfg: AuditConfig,
@@ -63,34 +90,63 @@ def chat_scored(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditCon
     return keep_where(s, "score", lambda x: compare(x, op, cfg.chat_threshold) & (x > 0))
 
 
-def _inline_inputs(lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: DataFrame | None):
-    """(entries, canned sentences) when the in-row path applies, else None.
+@dataclass(frozen=True)
+class InRow:
+    """What the in-row path needs: the lexicon, canned sentences, and a scorer of one of two kinds."""
 
-    It applies when the scorer is an expression of a token array and the lexicon
-    and canned table are within their inline bounds (checked by count).
+    lexicon: KnownLexicon
+    canned: list[str]
+    column: Callable[[Column], Column] | None  # of a token array
+    scores: Callable[[Column], Column] | None  # of an array of token arrays
+
+
+def _in_row(spark: SparkSession, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig, canned: DataFrame | None) -> InRow | None:
+    """The in-row path's inputs, when it applies, else None.
+
+    It applies when the scorer is an expression of a token array or can score all
+    sentences of a record, and the lexicon and canned table are within their bounds (measured).
     """
-    if not cfg.inline or not hasattr(scorer, "column"):
+    if not cfg.inline or not (hasattr(scorer, "column") or hasattr(scorer, "row_scores")):
         return None
-    entries = lexops.inline_entries(_folded(lexicon), cfg.max_inline_lexicon)
-    if entries is None:
+    known = known_lexicon(lexicon, cfg)
+    if known is None:
         return None
     sentences: list[str] = []
     if canned is not None:
         sentences = lexops.inline_entries(canned.select("sentence"), cfg.max_inline_canned)
         if sentences is None:
             return None
-    return entries, sentences
+    if hasattr(scorer, "column"):
+        return InRow(known, sentences, scorer.column, None)
+    scores = scorer.row_scores(spark)
+    return None if scores is None else InRow(known, sentences, None, scores)
+
+
+def _hits_in_row(df: DataFrame, keys: Sequence[str], cands: Column, lexicon: KnownLexicon, cfg: AuditConfig) -> DataFrame:
+    """``keys`` and ``_c``: the elements of ``cands`` (with ``tokens``) that hit the lexicon."""
+    if not lexicon.automaton:
+        return df.select(*keys, F.filter(cands, lambda x: sensitive(x["tokens"], lexicon.entries, cfg.sensitive_mode)).alias("_c"))
+    joined = F.transform("_c", lambda x: F.concat_ws("", x["tokens"]))
+    tested = df.select(*keys, cands.alias("_c")).select(*keys, "_c", automaton.hits(df.sparkSession, joined, lexicon.entries).alias("_h"))
+    return tested.select(*keys, F.transform(F.filter(F.arrays_zip("_c", "_h"), lambda z: z["_h"]), lambda z: z["_c"]).alias("_c"))
 
 
-def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], scorer,
-                      cfg: AuditConfig) -> DataFrame:
+def _scores_in_row(df: DataFrame, keys: Sequence[str], inputs: InRow, element: Callable[[Column, Column], Column]) -> DataFrame:
+    """``keys`` and ``_e``: ``element(candidate, score)`` of every element of ``_c``."""
+    if inputs.column:
+        return df.select(*keys, F.transform("_c", lambda x: element(x, inputs.column(x["tokens"]))).alias("_e"))
+    scored = df.select(*keys, "_c", inputs.scores(F.transform("_c", lambda x: x["tokens"])).alias("_s"))
+    return scored.select(*keys, F.zip_with("_c", "_s", element).alias("_e"))
+
+
+def _chat_pick_inline(chat: DataFrame, inputs: InRow, cfg: AuditConfig) -> DataFrame:
     """``create_time, session_id, c``: the chosen (speaker, score, text) of each
     chat record, computed inside its row.
 
     Same steps as the exploded plan — 8-key guard, speaker, canned, tokens,
-    lexicon, score, sentence threshold, best per speaker, choice — as
-    higher-order functions over the record's message array: no explode, no
-    shuffle, one result per input record. The candidate array and the two
+    lexicon, score, sentence threshold, best per speaker, choice — over the record's
+    message array: no explode, no shuffle, one result per input record. Expressions are
+    higher-order functions; an automaton and models get all sentences of a batch of records. The candidate array and the two
     bests are separate projections, so each is evaluated once per row even
     though the choice refers to them several times.
     """
@@ -103,29 +159,27 @@ def _chat_pick_inline(chat: DataFrame, entries: list[str], canned: list[str], sc
 
     def spoken(x):  # cheap tests first: key count, speaker, canned text
         ok = (x["n_keys"] == cfg.message_keys) & x["speaker"].isNotNull()
-        if canned:
-            ok = ok & ~F.coalesce(F.trim(x["text"]).isin(*canned), F.lit(False))
+        if inputs.canned:
+            ok = ok & ~F.coalesce(F.trim(x["text"]).isin(*inputs.canned), F.lit(False))
         return ok
 
     def tokens(x):
         return F.struct(x["pos"].alias("pos"), x["text"].alias("text"), x["speaker"].alias("speaker"),
                         clean_tokens(tokenize(x["text"], cfg.han_mode), cfg.filter_chars).alias("tokens"))
 
-    def keep(x):
-        return (F.size(x["tokens"]) > 0) & sensitive(x["tokens"], entries, cfg.sensitive_mode)
-
-    cands = F.filter(F.transform(F.filter(F.transform(msgs, cand), spoken), tokens), keep)
-    scored = F.transform(cands, lambda x: F.struct(
+    cands = F.filter(F.transform(F.filter(F.transform(msgs, cand), spoken), tokens), lambda x: F.size(x["tokens"]) > 0)
+    keys = ["create_time", "session_id"]
+    hit = _hits_in_row(chat, keys, cands, inputs.lexicon, cfg)
+    scored = _scores_in_row(hit, keys, inputs, lambda x, score: F.struct(
         x["speaker"].alias("speaker"),
-        F.struct(scorer.column(x["tokens"]).alias("score"), (-x["pos"]).alias("neg_pos"),
-                 x["text"].alias("text")).alias("b")))
+        F.struct(score.alias("score"), (-x["pos"]).alias("neg_pos"), x["text"].alias("text")).alias("b")))
     op = cfg.sentence_op or ">"
-    passing = F.filter(scored, lambda x: compare(x["b"]["score"], op, cfg.chat_threshold) & (x["b"]["score"] > 0))
+    passing = F.filter("_e", lambda x: compare(x["b"]["score"], op, cfg.chat_threshold) & (x["b"]["score"] > 0))
 
     def best(who):
         return F.array_max(F.transform(F.filter(F.col("_p"), lambda x: x["speaker"] == who), lambda x: x["b"]))
 
-    p = chat.select("create_time", "session_id", passing.alias("_p"))
+    p = scored.select(*keys, passing.alias("_p"))
     b = p.select("create_time", "session_id", best("user").alias("_u"), best("agent").alias("_a"))
     ok = lambda c: compare(c["score"], cfg.record_op, cfg.chat_threshold)
     return b.select("create_time", "session_id", present(choose(F.col("_u"), F.col("_a"), cfg.select_mode), ok)
@@ -136,15 +190,15 @@ def chat_audit(chat: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConf
                canned: DataFrame | None = None) -> DataFrame:
     """Q1 -> audit_result rows (source 1).
 
-    With an expression scorer and bounded lexicon/canned tables the whole audit
+    With a scorer that is an expression or made of known models, and bounded lexicon/canned tables, the whole audit
     runs inside each record's row (map-only plan); otherwise sentences are
-    exploded, scored (e.g. by a model) and reduced per record. Every plan gives one
+    exploded, scored and reduced per record. Every plan gives one
     row per input record, whatever its key (null, shared or repeated).
     """
     chat = schemas.require(chat, schemas.CHAT_RECORD, "chat_record")
-    inline = _inline_inputs(lexicon, scorer, cfg, canned)
+    inline = _in_row(chat.sparkSession, lexicon, scorer, cfg, canned)
     if inline is not None:
-        pick = _chat_pick_inline(chat, *inline, scorer, cfg)
+        pick = _chat_pick_inline(chat, inline, cfg)
     else:
         s = chat_scored(chat, lexicon, scorer, cfg, canned).withColumnRenamed("digest", "text")
         best = record_bests(s, parse.CHAT_KEYS + parse.PAYLOAD_HASH, speaker="speaker")
@@ -175,37 +229,34 @@ def speech_scored(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audi
     return keep_where(s, "score", lambda x: compare(x, op, cfg.speech_threshold) & (x > 0))
 
 
-def _speech_best_inline(entries: list[str], scorer, cfg: AuditConfig) -> Column:
-    """Best (score, -pos, text) of one speech record, computed inside its row."""
+def _speech_best_inline(speech: DataFrame, inputs: InRow, cfg: AuditConfig) -> DataFrame:
+    """``v_date, task_no, _b``: the best (score, -pos, text) of each speech record, computed inside its row."""
     sents = F.from_json(F.col("result"), schemas.SPEECH_JSON)["sentenceListData"]
 
     def cand(s, i):
         return F.struct(i.alias("pos"), s["wordList"].alias("words"),
                         clean_tokens(lower_all(s["wordList"]), cfg.filter_chars).alias("tokens"))
 
-    def keep(x):
-        return (F.size(x["words"]) >= cfg.min_words) & (F.size(x["tokens"]) > 0) \
-            & sensitive(x["tokens"], entries, cfg.sensitive_mode)
-
-    scored = F.transform(F.filter(F.transform(sents, cand), keep), lambda x: F.struct(
-        blend(scorer.column(x["tokens"]), F.col("score_qingxu"), cfg.emotion_weights).alias("score"),
+    cands = F.filter(F.transform(sents, cand), lambda x: (F.size(x["words"]) >= cfg.min_words) & (F.size(x["tokens"]) > 0))
+    keys = ["v_date", "task_no", "score_qingxu"]
+    scored = _scores_in_row(_hits_in_row(speech, keys, cands, inputs.lexicon, cfg), keys, inputs, lambda x, score: F.struct(
+        blend(score, F.col("score_qingxu"), cfg.emotion_weights).alias("score"),
         (-x["pos"]).alias("neg_pos"), F.concat_ws(" ", x["words"]).alias("text")))
     op = cfg.sentence_op or ">="
-    return F.array_max(F.filter(scored, lambda x: compare(x["score"], op, cfg.speech_threshold)
-                                & (x["score"] > 0)))
+    best = F.array_max(F.filter("_e", lambda x: compare(x["score"], op, cfg.speech_threshold) & (x["score"] > 0)))
+    return scored.select("v_date", "task_no", present(best).alias("_b"))
 
 
 def speech_audit(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """Q2 -> audit_result rows (source 2); the text is the sentence's words joined by spaces.
 
-    In-row (map-only) with an expression scorer and a bounded lexicon, else
-    exploded + one partial aggregate.
+    In-row (map-only) with a bounded lexicon and a scorer that is an expression or made of
+    known models, else exploded + one partial aggregate.
     """
     speech = schemas.require(speech, schemas.SPEECH_RECORD, "speech_record")
-    inline = _inline_inputs(lexicon, scorer, cfg, None)
+    inline = _in_row(speech.sparkSession, lexicon, scorer, cfg, None)
     if inline is not None:
-        b = speech.select("v_date", "task_no", present(_speech_best_inline(inline[0], scorer, cfg)).alias("_b"))
-        best = b.select(
+        best = _speech_best_inline(speech, inline, cfg).select(
             "v_date", "task_no", F.col("_b.score").alias("best_score"), F.col("_b.text").alias("best_text"))
     else:
         s = speech_scored(speech, lexicon, scorer, cfg).withColumn("text", F.concat_ws(" ", "words"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig, FlowConfig
+from convaudit.functions import automaton
 from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
 from convaudit.ml import registry
@@ -234,6 +235,22 @@ def sensitive_substring(spark, sf):
     return m.select("session_id", "pos")
 
 
+def _large_lexicon(spark, sf):
+    """The long words of the documents as a word-list file, one entry a line, read back."""
+    path = _folder(spark, "lexicon")
+    fx.large_lexicon(spark, sf).write.text(path)
+    return lexops.read_lexicon(spark, path)
+
+
+@query
+def sensitive_automaton(spark, sf):
+    """P11 over a lexicon of tens of thousands of entries: one automaton, no explode and no join."""
+    entries = lexops.bounded_entries(_large_lexicon(spark, sf), AuditConfig().max_automaton_chars)
+    m = _chat_tokens(spark, sf).where(F.size("tokens") > 0)
+    hit = automaton.hits(spark, F.array(F.concat_ws("", "tokens")), entries)
+    return m.select("session_id", "pos", hit.alias("hit")).where(F.get("hit", 0)).select("session_id", "pos")
+
+
 @query
 def lexicon_semi(spark, sf):
     """The token test as a join against the lexicon table."""
@@ -331,9 +348,15 @@ def chat_audit(spark, sf):
 
 @query
 def chat_audit_large_lexicon(spark, sf):
-    """Q1 over a lexicon too large to inline: the same rows by the join path."""
+    """Q1 over the large lexicon, read from its file: the automaton inside each record's row."""
+    return audit.chat_audit(_chat(spark, sf), _large_lexicon(spark, sf), RatioScorer(tuple(fx.TERMS)), _cfg(), fx.canned(spark, sf))
+
+
+@query
+def chat_audit_joined_lexicon(spark, sf):
+    """Q1 over a lexicon beyond all bounds: the same rows by the join path."""
     return audit.chat_audit(_chat(spark, sf), fx.terms_df(spark), RatioScorer(tuple(fx.TERMS)),
-                            _cfg(max_inline_lexicon=0), fx.canned(spark, sf))
+                            _cfg(max_inline_lexicon=0, max_automaton_chars=0), fx.canned(spark, sf))
 
 
 @query
@@ -532,3 +555,11 @@ def chat_audit_lr(spark, sf):
     train, _ = _split(spark, sf)
     scorer = ModelScorer([ml_train.fit_lr(train, ML_CFG)])
     return audit.chat_audit(_chat(spark, sf), fx.TERMS, scorer, _cfg(chat_threshold=fx.LR_THRESHOLD), fx.canned(spark, sf))
+
+
+@query
+def speech_audit_lr(spark, sf):
+    """Q2 with the same scorer."""
+    train, _ = _split(spark, sf)
+    scorer = ModelScorer([ml_train.fit_lr(train, ML_CFG)])
+    return audit.speech_audit(fx.speech_json(spark, sf), fx.TERMS, scorer, _cfg(speech_threshold=fx.LR_THRESHOLD))

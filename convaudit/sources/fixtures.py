@@ -22,6 +22,7 @@ from convaudit.functions.text import tokenize
 TERMS = ["und", "que", "la", "that", "was", "from", "this", "die"]
 TEST_THRESHOLD = 0.02
 LR_THRESHOLD = 0.15          # P(negative) of the test model; its class 0 is about a sixth of the rows
+LEXICON_LENGTH = 9           # least characters of a word of the large lexicon
 CHAT_CREATE_TIME = "2024-01-15 08:00:00"
 CALL_DATE = "2024-01-15"
 EVENT_DAY = "2024-01-15"      # day of the events day-scan
@@ -49,6 +50,12 @@ def terms_df(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(t,) for t in TERMS], "term string")
 
 
+def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long words of all documents, as ``word``: tens of thousands."""
+    words = table(spark, sf_dir, "documents").select(F.explode(tokenize("text")).alias("word"))
+    return words.where(F.length("word") >= LEXICON_LENGTH).distinct()
+
+
 def rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw flow-check rules, one per benchmark item: some without a type, a numeric
     threshold or keywords, some with empty keywords."""

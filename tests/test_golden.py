@@ -220,8 +220,8 @@ def test_one_row_per_record_whatever_the_lexicon_size(spark):
     lex = spark.createDataFrame([("bad",)], "entry string")
     canned = spark.createDataFrame([("bad q",)], "sentence string")
     for mode in ("substring", "token"):
-        for most in (20_000, 0):  # inline entries, then the join path
-            out = audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most, sensitive_mode=mode), canned).collect()
+        for most, chars in ((20_000, 0), (0, 100), (0, 0)):  # inline entries, the automaton, the join path
+            out = audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most, max_automaton_chars=chars, sensitive_mode=mode), canned).collect()
             assert sorted(r.problem_text for r in out) == ["bad a b", "bad bad", "bad x", "bad y", "bad z", "bad z"]
 
 
@@ -229,8 +229,8 @@ def test_large_lexicon_reports_the_sentence_that_was_hit(spark):
     """Another record of the same key must not lend its hit."""
     chats = chat_df(spark, [("k", [msg("u", "lexhit bad a b c")], "u", "a"), ("k", [msg("u", "bad bad")], "u", "a")])
     lex = spark.createDataFrame([("lexhit",)], "entry string")
-    for most in (20_000, 0):
-        assert result(audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most))) == {"k": ("lexhit bad a b c", 0.2)}
+    for most, chars in ((20_000, 0), (0, 100), (0, 0)):
+        assert result(audit.chat_audit(chats, lex, SCORER, cfg(max_inline_lexicon=most, max_automaton_chars=chars))) == {"k": ("lexhit bad a b c", 0.2)}
 
 
 def test_speech_records_of_one_key_stay_apart(spark):
