@@ -247,6 +247,11 @@ SELECT CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, label, co
 FROM labelled GROUP BY 1, 2""", "labelled")
 
 # ---------------------------------------------------------------- models: what SQL can know
+SQL["features_two_view"] = W(f"""
+SELECT doc_id, label, CAST(800 AS INTEGER) AS dim,
+       CASE WHEN len(list_filter(regexp_extract_all(lower(text), {WORD_RE}), lambda t: translate(t, {FILTER_SQL}, '') <> '')) > 0
+            THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS sq_norm
+FROM labelled""", "labelled")
 SQL["ml_output_check"] = W("""
 SELECT doc_id, label, true AS in_range, true AS labels_agree, true AS mean_of_parts FROM labelled WHERE doc_id % 5 = 0""", "labelled")
 SQL["model_reload"] = W("""

@@ -20,7 +20,7 @@ from convaudit.functions.lexicon import sensitive
 from convaudit.functions.text import clean_tokens, compare, ratio_score, split_ws, tokenize
 from convaudit.ml import registry
 from convaudit.ml import train as ml_train
-from convaudit.ml.features import FeatureConfig, feature_pipeline, with_tokens
+from convaudit.ml.features import FeatureConfig, fit_features, with_tokens
 from convaudit.ml.score import ModelScorer, neg_prob, predict_label
 from convaudit.ml.train import TrainConfig
 from convaudit.operators import evaluate, flow, parse
@@ -464,8 +464,7 @@ def _split(spark, sf):
 @query
 def features_two_view(spark, sf):
     lab = with_tokens(fx.labelled(spark, sf), ML_FEATURES)
-    m = feature_pipeline(ML_FEATURES).fit(lab)
-    v = m.transform(lab)
+    v = fit_features(lab, ML_FEATURES).transform(lab)
     return v.select("doc_id", "label", vector_to_array("features").alias("_f")).select(
         "doc_id", "label", F.size("_f").cast("int").alias("dim"),
         F.round(F.aggregate("_f", F.lit(0.0), lambda a, x: a + x * x), 6).alias("sq_norm"))
