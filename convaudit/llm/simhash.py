@@ -64,6 +64,10 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", words:
     return map_slices(rows, run, f"`{key}` {rows.schema[key].dataType.simpleString()}, fp long")
 
 
+#: Segment values whose variants one task makes.
+VALUES_PER_TASK = 50_000
+
+
 def segment(fp: Column, number: int, of: int) -> Column:
     width = 64 // of
     return F.shiftrightunsigned(fp, number * width).bitwiseAND(F.lit((1 << width) - 1))
@@ -75,6 +79,8 @@ def buckets(distinct: DataFrame, bits: int) -> DataFrame:
     width = 64 // of
     values = distinct.select("fp", F.posexplode(F.array(*[segment(F.col("fp"), i, of) for i in range(of)])).alias("seg", "value"))
     sizes = stored(values.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")), "segments")
+    # the stored table is a few small files, each row of which makes ``width`` variants: as many tasks as they need
+    sizes = sizes.repartition(sizes.count() // VALUES_PER_TASK + 1, "seg", "value")
     same = sizes.where("n > 1").select("seg", "value", F.col("value").alias("low"), F.lit(-1).alias("wild"), "n")
     # two values share a variant only if they differ in the blanked bit and nowhere else
     bit = F.expr("shiftleft(1L, wild)")
