@@ -22,6 +22,7 @@ NO_KEYWORD = "null"             # keyword written when keyword filtering is off
 VECTOR_SIZE = 400               # per embedding view
 CONTEXT_WINDOW = 10             # words to each side
 LR_MAX_ITER = 5000
+SVR_MAX_ITER = 1500
 FOREST_TREES = 300
 FOREST_DEPTH = 50               # Spark caps tree depth at 30; see ml.train
 # ---------------------------------------------------------------------------

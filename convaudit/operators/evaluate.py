@@ -44,6 +44,10 @@ def auc_hard(df: DataFrame, pred: str = "prediction", label: str = "label") -> D
                     F.when((p > 0) & (n > 0), num.cast("double") / (p * n * 2).cast("double")).alias("auc"))
 
 
+#: Value ranges that a rank is cut into at most.
+MOST_RANGES = 4096
+
+
 def auc_rank(df: DataFrame, score: str = "score", label: str = "label", parts: int | None = None,
              by: str | None = None) -> DataFrame:
     """ROC area of a continuous score (A8), Mann-Whitney form, mean ranks on ties; one row, or one per ``by``.
@@ -53,21 +57,24 @@ def auc_rank(df: DataFrame, score: str = "score", label: str = "label", parts: i
     ``AUC = (sum_pos(2 * rank) - P(P+1)) / (2PN)``. Products are decimals of 38 digits.
 
     ``b`` needs a global order, built without moving all rows into one task: rows are
-    reduced to one per distinct score; these are cut into ``parts`` value ranges at
-    approximate quantiles, an aggregate of fixed size that is broadcast to its own
-    input; each range is prefix-summed on its own and offset by the totals of the
+    reduced to one per distinct score; these are cut into ``parts`` value ranges (``MOST_RANGES`` at most) at
+    approximate quantiles, an aggregate of bounded size that is broadcast to its own
+    input, where a binary search finds a score's range; each range is prefix-summed on its own and offset by the totals of the
     ranges below it (one row per range). Nothing runs while the plan is built.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_RANGES))
+    steps = [1 << k for k in range(parts.bit_length() - 1, -1, -1)]
     y = F.col(label).cast("double")
     ok = df.where(F.col(score).isNotNull() & y.isin(0.0, 1.0))
     # a key that the optimizer doesn't fold keeps the joins below equi-joins
     key = F.col(by) if by else (y * 0).cast("int")
     g = ok.groupBy(key.alias("_k"), F.col(score).cast("double").alias("_s")).agg(
         F.count(F.lit(1)).alias("_c"), F.sum((y == 1.0).cast("long")).alias("_p"))
-    cuts = g.groupBy("_k").agg(F.percentile_approx("_s", [i / parts for i in range(1, max(parts, 2))], 1000).alias("_cuts"))
-    r = g.join(F.broadcast(cuts), "_k").select(  # one row per key
-        "_k", "_s", "_c", "_p", F.size(F.filter("_cuts", lambda c: c < F.col("_s"))).alias("_part"))
+    cuts = g.groupBy("_k").agg(F.percentile_approx("_s", [i / parts for i in range(1, max(parts, 2))], max(1000, 4 * parts)).alias("_cuts"))
+    # how many cuts lie below the score, found by halving: an index past the end is null and adds nothing
+    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: at + F.when(
+        F.get("_cuts", at + step - 1) < F.col("_s"), step).otherwise(0))
+    r = g.join(F.broadcast(cuts), "_k").select("_k", "_s", "_c", "_p", below.alias("_part"))  # one row of cuts per key
     tot = r.groupBy("_k", "_part").agg(F.sum("_c").alias("_tot"))
     before = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_k", "_part", F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))

@@ -64,7 +64,7 @@ def test_rank_auc_equals_pairwise_count(spark):
     pos = [s for s, y in rows if y == 1.0]
     neg = [s for s, y in rows if y == 0.0]
     wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
-    for parts in (1, 5, 50):  # one range, several, more ranges than distinct scores
+    for parts in (1, 2, 5, 50, 20_000):  # one range, several, more ranges than distinct scores
         got = evaluate.auc_rank(df, parts=parts).first()
         assert abs(got.auc - wins / (len(pos) * len(neg))) < 1e-12, parts
         assert got.n_pos == len(pos) and got.n_neg == len(neg)
