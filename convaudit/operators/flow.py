@@ -1,6 +1,6 @@
 """Ticket flow check: rules -> tickets -> calls -> first keyword sentence.
 
-Plan shape (one Spark job, no driver round trips):
+Plan shape (one Spark job; two small ones before it measure the rules and name the hot orders):
 
 * rules are parsed and de-duplicated (last valid row per type wins) and, being a
   bounded configuration table, broadcast (bytes checked);
@@ -9,9 +9,9 @@ Plan shape (one Spark job, no driver round trips):
   once per order: the order's type is the last ticket's type (over *all* scanned
   valid tickets, as in the reference) and the order passes when any of its tickets
   does;
-* call records join that per-order table on ``order_no`` and a salt: the few bytes
-  of an order stand ``SALTS`` times, and its calls are dealt over as many tasks, so
-  an order with a third of all calls isn't one task's work. The order's summary
+* call records join that per-order table on ``order_no``. Only hot orders, which a sketch of the calls
+  names, also get a salt: the few bytes of such an order stand ``SALTS`` times, and its calls are dealt
+  over as many tasks, so an order with a third of all calls isn't one task's work. The order's summary
   rides along, so it isn't joined a second time. Calls pick up their keywords from
   the broadcast rules and find the first matching sentence *inside the row* with
   higher-order functions, so the call texts are never exploded.
@@ -49,6 +49,8 @@ def parse_rules(rules: DataFrame, order_col: str = "rule_id") -> DataFrame:
 
 #: Tasks that the calls of one order are dealt over.
 SALTS = 16
+#: An order with this share of the calls is hot; items that the sketch tracks.
+HOT_SHARE, TRACKED = 1 / 64, 16_384
 
 
 def whole_number(c: Column) -> Column:
@@ -117,8 +119,9 @@ def scan_calls(calls: DataFrame, orders: DataFrame, dates: tuple[str, str] | Non
                check_date: str | None = None, check_col: str = "compute_date") -> DataFrame:
     """Call records of the window that belong to a passing order.
 
-    Joined (not semi-joined) so the order's type and ticket summary ride along. Calls
-    are salted by a hash of the row's id and the orders repeated for each salt.
+    Joined (not semi-joined) so the order's type and ticket summary ride along. The calls of
+    hot orders are salted by a hash of the row and these orders repeated for each salt; all other
+    orders stand once and join plainly, so Spark may filter the calls by their keys at run time.
     ``check_date`` keeps the records computed for that date; it applies to tables
     that carry ``check_col``.
     """
@@ -126,11 +129,26 @@ def scan_calls(calls: DataFrame, orders: DataFrame, dates: tuple[str, str] | Non
     if check_date is not None and check_col in calls.columns:
         c = c.where(F.col(check_col) == F.lit(check_date).cast("date"))
     o = orders.where(F.col("passes")).select("order_no", *ORDER_COLUMNS)
-    o = o.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("task_no", "result"), F.lit(SALTS)).cast("int")
+    hot = hot_orders(c)
+    if not hot:
+        return c.join(o, "order_no")
+    is_hot, every = F.col("order_no").isin(*hot), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    o = o.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
+    salt = F.when(is_hot, F.pmod(F.xxhash64("task_no", "result"), F.lit(SALTS))).otherwise(0).cast("int")
     return c.withColumn("_salt", salt).join(o, ["order_no", "_salt"]).drop("_salt")
 
 
+def hot_orders(calls: DataFrame, share: float = HOT_SHARE) -> list[str]:
+    """Orders with ``share`` of the calls or more, by a frequent-items sketch of the order numbers.
+
+    One job over that column runs when the plan is made; it sends one sketch per task, and there are at most
+    ``1 / share`` such orders. The sketch counts at least what is there, so none is missed.
+    """
+    top = F.expr(f"approx_top_k(order_no, {int(2 / share)}, {TRACKED})")
+    r = calls.where(F.col("order_no").isNotNull()).agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    return sorted(x["item"] for x in r.top or [] if x["count"] >= r.n * share)
+
+
 def attach_keywords(calls_t: DataFrame, rules_p: DataFrame, small_rules: bool | None = None) -> DataFrame:
     """Bring each call's keyword list into the row (J4). Unknown types drop out."""
     small = rules_are_small(rules_p) if small_rules is None else small_rules

@@ -242,6 +242,9 @@ SELECT doc_id, CASE WHEN label = 1.0 THEN 'POS' ELSE 'NEG' END AS tag, label,
                             lambda t: translate(t, {FILTER_SQL}, '') <> '')) AS INTEGER) AS n_tokens
 FROM labelled WHERE label IN (0.0, 1.0)""", "labelled")
 
+SQL["train_shuffle"] = W("""
+SELECT doc_id, label, row_number() OVER (ORDER BY sha256('42:' || CAST(doc_id AS VARCHAR))) - 1 AS place FROM labelled""", "labelled")
+
 SQL["train_test_split"] = W("""
 SELECT CASE WHEN doc_id % 5 = 0 THEN 'test' ELSE 'train' END AS split, label, count(*) AS n
 FROM labelled GROUP BY 1, 2""", "labelled")

@@ -26,6 +26,7 @@ from convaudit.ml.train import TrainConfig
 from convaudit.operators import evaluate, flow, parse
 from convaudit.operators import lexicon as lexops
 from convaudit.operators.score import RatioScorer, blend, mean_of
+from convaudit.operators.shuffle import shuffled
 from convaudit.operators.select import argmax, argmax_window, choose, speaker_bests
 from convaudit.plans import audit, training
 from convaudit.plans import ticket_flow as flowplan
@@ -444,6 +445,12 @@ def train_corpus(spark, sf):
     return c.select("doc_id", "tag", "label", F.size(clean_tokens(tokenize("text"))).cast("int").alias("n_tokens"))
 
 
+@query
+def train_shuffle(spark, sf):
+    """The labelled rows' places in a seeded order."""
+    return shuffled(fx.labelled(spark, sf), ["doc_id"]).select("doc_id", "label", "place")
+
+
 @query
 def train_test_split(spark, sf):
     s = evaluate.assign_split(fx.labelled(spark, sf))

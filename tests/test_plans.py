@@ -19,7 +19,7 @@ def test_no_theta_or_cross_join(spark, name):
     # nothing funnels all rows into one task (a global window, sort or limit). A
     # global aggregate's final step is fine: only one partial row per task reaches
     # it. The rank AUC's single-partition window sees one row per range partition.
-    if name in ("eval_auc_rank", "model_report"):
+    if name in ("eval_auc_rank", "model_report", "train_shuffle"):
         return
     lines = [ln for ln in plan.splitlines() if ln.strip()]
     for i, ln in enumerate(lines):
@@ -51,3 +51,31 @@ def test_hot_order_is_dealt_over_tasks(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert sum(r["count"] for r in sizes) == n
     assert max(r["count"] for r in sizes) <= n // 4
+
+
+def test_only_hot_orders_are_repeated(spark):
+    """The orders' side of the join has at most a tenth more rows than orders; without a hot one the join is plain."""
+    from pyspark.sql import functions as F
+
+    from convaudit.operators import flow
+
+    n = 8_000
+    calls = spark.range(2 * n).select(
+        F.lit("2024-01-15").cast("date").alias("v_date"), F.lit(1).alias("source"),
+        F.when(F.col("id") < n, "hot").when(F.col("id") % 50 == 0, F.lit(None)).otherwise(F.col("id").cast("string")).alias("order_no"),
+        F.col("id").cast("string").alias("task_no"), F.lit("[]").alias("result"))
+    orders = calls.select("order_no").where("order_no is not null").distinct().select(
+        "order_no", F.lit("T").alias("question_type"), F.lit(True).alias("passes"), F.lit(1).cast("long").alias("n_tickets"),
+        F.lit(1).cast("long").alias("n_passing"), F.lit(1).alias("max_caller_num"))
+    assert flow.hot_orders(calls) == ["hot"]
+    joined = flow.scan_calls(calls, orders)
+    assert joined.count() == calls.where("order_no is not null").count()
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/event-{id(joined)}"
+    orders.write.parquet(path)
+    plan = flow.scan_calls(calls, spark.read.parquet(path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan
+    salted = orders.count() + (flow.SALTS - 1)
+    assert salted <= 1.1 * orders.count()
+    even = calls.where("order_no <> 'hot'")
+    assert flow.hot_orders(even) == [] and flow.hot_orders(calls.where("false")) == []
+    assert "Generate explode" not in flow.scan_calls(even, orders)._jdf.queryExecution().optimizedPlan().toString()
