@@ -17,7 +17,9 @@ into blocks, and each two blocks are compared by a task of their own.
 
 Null vectors, zero vectors and those with null or non-finite components link with
 nothing. Vectors of different lengths are never compared. Rows that repeat an id
-with the same vector are one; ids that carry several vectors share their links.
+with the same vector are one; ids that carry several vectors share their links. A row
+with a null id links with nothing. Ids are longs (the row's key is cast by the caller); other
+columns of the input are not used, and an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convaudit.llm.common import map_slices, stored
+from convaudit.llm.common import drop_stored, map_slices, stored
 from convaudit.llm.components import components
 
 SEED = 20240229
@@ -191,6 +193,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
         components(found.select("id", "root")).withColumnRenamed("node", "id"), "id", "left")
     named = stored(named.select("raw", (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).cast("long").alias("n_links"),
                                 F.coalesce("component", "id").alias("component_id")), "named-vectors")
+    for done in (found, large, index):
+        drop_stored(done)
     out = rows.join(named, "raw", "left").select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                                                  F.coalesce("component_id", "id").alias("component_id"))
     return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))

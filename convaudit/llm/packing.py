@@ -15,7 +15,8 @@ texts that hold a special token or endless white space, and vocabularies of anot
 
 ``sequence_id`` is made of the task's partition, a running number and the
 bucket: unique within a result, and equal again when a lost task is run anew
-over the same rows.
+over the same rows. Repeated rows, also with equal or null keys, are packed each on its own; long
+texts are encoded whole. Other columns of the input are not used, and an empty table gives no piece.
 """
 
 from __future__ import annotations

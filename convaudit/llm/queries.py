@@ -92,8 +92,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "archives")
     write_archives(table(spark, sf_dir, "pages"), path)
-    out = read_archives(spark, path, payloads=False).where("error is null")
-    return out.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+    out = read_archives(spark, path, payloads=False)
+    # a record that can't be read back must not vanish
+    gap = F.raise_error(F.concat_ws(" ", F.lit("gap in the archive:"), "file", "offset", "size", "error"))
+    return out.select(F.when(F.col("error").isNull(), F.col("key").cast("long")).otherwise(gap).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers_to").cast("long").alias("refers_to"))
 
 

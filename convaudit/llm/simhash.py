@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convaudit.llm.common import map_slices, stored, texts_of
+from convaudit.llm.common import drop_stored, map_slices, stored, texts_of
 from convaudit.llm.components import components
 
 
@@ -137,4 +137,5 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("component", "fp").alias("root"), "first")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(rooted.join(least, "root").select("fp", "component_id"), "named-fingerprints")
+    drop_stored(distinct)
     return prints.join(named, "fp").select(key, "fp", "component_id")

@@ -19,6 +19,9 @@ scoring is one pass without a shuffle.
 Null texts are empty; empty texts have no n-gram and the score of the intercept
 alone. Labelled rows without a label or without a text count for nothing. Where a
 label is missing altogether the score is the share of label 1 (or 0 without rows).
+Long texts are read whole, block by block. Repeated rows are each scored; equal texts count once for the regression.
+Other columns pass through ``with_scores``; one that is named like its output is an error. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations

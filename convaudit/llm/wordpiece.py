@@ -10,7 +10,9 @@ never backs up, unlike trying ever shorter prefixes.
 The vocabulary comes from a byte-level BPE file: tokens that begin with the
 space symbol start words, the others continue them. Words are runs of
 characters other than space and \\t \\n \\v \\f \\r. A word that the pieces can't
-spell counts as one unknown piece. Null and empty texts count nothing.
+spell counts as one unknown piece. Null and empty texts count nothing. Rows keep
+their multiplicity, also with equal or null keys; texts are read whole; there are no ties.
+Other columns of the input are not used, and an empty table gives an empty result.
 """
 
 from __future__ import annotations

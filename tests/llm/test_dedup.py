@@ -147,12 +147,44 @@ def test_vectors_without_direction_link_with_nothing(spark):
     assert embeddings.near_vectors(vectors(spark, [])).count() == 0
 
 
+def brute_classes(ids, vectors):
+    """id -> links, smallest id reachable, kept."""
+    unit, _ = embeddings.unit_rows(np.array(vectors, float))
+    sim = unit @ unit.T >= 0.95
+    root, changed = dict(zip(ids, ids)), True
+    while changed:
+        changed = False
+        for i, k in enumerate(ids):
+            least = min(root[ids[j]] for j in np.flatnonzero(sim[i]))
+            changed, root[k] = changed or least < root[k], min(least, root[k])
+    return {k: (int(n) - 1, root[k], root[k] == k) for k, n in zip(ids, sim.sum(1))}
+
+
+def classes_of(df):
+    return {r.vec_id: (r.n_links, r.component_id, r.kept) for r in df.collect()}
+
+
 def test_embedding_query_equals_brute_force(spark):
     rows = spark.read.parquet(SF001 + "/embeddings.parquet").collect()
-    unit, _ = embeddings.unit_rows(np.array([r.embedding for r in rows], float))
-    sim = unit @ unit.T >= 0.95
-    got = {r.vec_id: r.n_links for r in QUERIES["op8_embedding_dedup"](spark, SF001).collect()}
-    assert got == {r.vec_id: int(n) - 1 for r, n in zip(rows, sim.sum(1))}
+    assert classes_of(QUERIES["op8_embedding_dedup"](spark, SF001)) == brute_classes([r.vec_id for r in rows], [r.embedding for r in rows])
+
+
+def test_planted_groups_of_vectors(spark):
+    """Copies and close neighbours of the table's vectors, under ids on both sides of theirs."""
+    rng = np.random.default_rng(5)
+    rows = spark.read.parquet(SF001 + "/embeddings.parquet").limit(150).collect()
+    ids, found = [r.vec_id for r in rows], [list(r.embedding) for r in rows]
+    for i in range(0, 150, 3):
+        for k in range(1 + i % 4):
+            ids.append((-1 if k % 2 else 1) * (10_000 + 10 * i + k))
+            found.append((np.array(rows[i].embedding) + rng.normal(0, 1e-3 * (k % 3), len(rows[i].embedding))).tolist())
+    got = classes_of(near(spark, ids, found))
+    assert got == brute_classes(ids, found)
+    assert sum(not kept for *_, kept in got.values()) > 50
+
+
+def near(spark, ids, found):
+    return embeddings.near_vectors(vectors(spark, [(i, v, 0) for i, v in zip(ids, found)]))
 
 
 # ---------------------------------------------------------------- lines

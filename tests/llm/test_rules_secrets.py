@@ -226,6 +226,19 @@ def test_salvage(spark, archive):
     assert [x[:2] for x in warc.salvage(b"\x1f\x8b\x08junk" * 50)] == [(0, 350)]
 
 
+def test_query_fails_on_a_gap(spark, monkeypatch):
+    """A record that can't be read back stops the query; it doesn't vanish."""
+    from convaudit.llm import queries
+
+    def broken(*args, **kwargs):
+        rows = warc.read_archives(*args, **kwargs)
+        return rows.withColumn("error", F.when(F.col("key") == "3", "digest differs"))
+
+    monkeypatch.setattr(queries, "read_archives", broken)
+    with pytest.raises(Exception, match="gap in the archive"):
+        QUERIES["op7_warc"](spark, SF001).collect()
+
+
 def test_small_payloads_may_stay_responses(spark):
     path = scratch(spark, "archives")
     df = spark.createDataFrame([(1, "u", "aa"), (2, "u", "aa"), (3, "u", "b" * 50), (4, "u", "b" * 50)], "page_id long, url string, html string")

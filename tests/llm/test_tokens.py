@@ -129,6 +129,21 @@ def test_odd_rows(spark, word, byte):
     check_pieces(pieces, [(k, byte.encode(t) + b"\1\0\0\0") for k, t in rows])
 
 
+def test_token_count_query_equals_brute_force(spark):
+    """Every document of the table, longest match tried piece by piece."""
+    starts, continues = map(set, wordpiece.pieces_of(open(BYTE, encoding="utf-8").read()))
+    known, expected = {}, {}
+    for r in spark.read.parquet(SF001 + "/documents.parquet").select("doc_id", "text").collect():
+        words = wordpiece.words_of(r.text or "")
+        for w in words:
+            if w not in known:
+                known[w] = brute(w, starts, continues)
+        total = sum(known[w] for w in words)
+        expected[r.doc_id] = (len(words), total % wordpiece.UNKNOWN, total // wordpiece.UNKNOWN)
+    out = QUERIES["op3_token_counts"](spark, SF001)
+    assert {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in out.collect()} == expected
+
+
 def check_pieces(pieces, docs, width=2048):
     assert len({p.sequence_id for p in pieces}) == len(pieces)
     found = {}
