@@ -191,6 +191,10 @@ SQL["speech_audit"] = W("SELECT * FROM speech_result", "speech_result")
 SQL["audit_union"] = W("SELECT * FROM audit_rows", "audit_rows")
 SQL["integrate_results"] = W("SELECT * FROM integrated", "integrated")
 SQL["daily_audit"] = W(f"SELECT * FROM integrated WHERE v_date = '{fx.CALL_DATE}'", "integrated")
+SQL["integrate_bucketed"] = SQL["daily_audit"]
+SQL["layout_check"] = W("""
+SELECT 'chat' AS kind, session_id AS record_id, 10 AS n_columns, 5 AS n_read FROM chat_json
+UNION ALL SELECT 'speech', task_no, 13, 5 FROM speech_json""", "chat_json", "speech_json")
 SQL["chat_audit_joined_lexicon"] = SQL["chat_audit"]
 SQL["chat_audit_large_lexicon"] = W("SELECT * FROM chat_result", "lexicon", "chat_result").replace(
     "EXISTS (SELECT 1 FROM terms WHERE contains(array_to_string(tokens, ''), term))", _HIT)

@@ -292,6 +292,19 @@ def integrate(results: DataFrame, calls: DataFrame) -> DataFrame:
     return results.join(dim, ["v_date", "record_id"], "left")
 
 
+def integrate_day(results: DataFrame, calls: DataFrame, day: str) -> DataFrame:
+    """One day's serving rows from bucketed tables (J7, S12): ``integrate`` without a shuffle.
+
+    Both tables lie in folders by ``v_date`` (text) and in equally many buckets, the results by ``record_id``, the calls by
+    ``task_no``. Within a day these alone are the join's keys, so the aggregate that reduces the calls to one row
+    per key and the join both use the buckets as they lie.
+    """
+    dim = calls.where(F.col("v_date") == day).groupBy("task_no").agg(F.max(F.struct("order_no", "source")).alias("_d"))
+    dim = dim.select("task_no", F.col("_d.order_no").alias("order_no"), F.col("_d.source").alias("call_source"))
+    r = results.where(F.col("v_date") == day)
+    return r.join(dim, F.col("record_id") == F.col("task_no"), "left").drop("task_no")
+
+
 def daily_audit(chat: DataFrame, speech: DataFrame, calls: DataFrame, lexicon: Lexicon, scorer: Scorer,
                 cfg: AuditConfig = AuditConfig(), canned: DataFrame | None = None) -> DataFrame:
     """Q5: audit one day of chats and calls, union the results, integrate them.

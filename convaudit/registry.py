@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from convaudit import schemas
 from convaudit.config import SOURCE_CHAT, SOURCE_SPEECH, AuditConfig, FlowConfig
 from convaudit.functions import automaton
 from convaudit.functions.lexicon import sensitive
@@ -33,8 +34,10 @@ from convaudit.plans import ticket_flow as flowplan
 from convaudit.sources import fixtures as fx
 from convaudit.session import ensure_checkpoint_dir
 from convaudit.sources import tables
-from convaudit.sources.sinks import FLOW_PARTITIONS, write_partitioned
+from convaudit.sources.sinks import FLOW_PARTITIONS, write_bucketed, write_partitioned
 
+#: Buckets of the serving tables; a cluster takes as many as its largest day needs.
+SERVING_BUCKETS = 8
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -376,6 +379,32 @@ def integrate_results(spark, sf):
                            fx.calls(spark, sf))
 
 
+@query
+def integrate_bucketed(spark, sf):
+    """J7 over bucketed tables: results and calls written in buckets, one day joined without a shuffle."""
+    name = uuid.uuid4().hex
+    results = audit.audit_union(_chat_audit(spark, sf), _speech_audit(spark, sf))
+    calls = fx.calls(spark, sf).select(F.date_format("v_date", "yyyy-MM-dd").alias("v_date"), "task_no", "order_no", "source")
+    for df, table, key in ((results, f"results_{name}", "record_id"), (calls, f"calls_{name}", "task_no")):
+        write_bucketed(df, table, _folder(spark, table), key, SERVING_BUCKETS)
+    return audit.integrate_day(spark.table(f"results_{name}"), spark.table(f"calls_{name}"), fx.CALL_DATE)
+
+
+@query
+def layout_check(spark, sf):
+    """Every record of the whole source tables, whose columns are checked one by one."""
+    out = None
+    for kind, names, schema, rows in (("chat", schemas.CHAT_TABLE, schemas.CHAT_RECORD, _chat(spark, sf)),
+                                      ("speech", schemas.SPEECH_TABLE, schemas.SPEECH_RECORD, fx.speech_json(spark, sf))):
+        whole = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in names])
+        read = schemas.require_table(whole, names, schema, kind)
+        record = "session_id" if kind == "chat" else "task_no"
+        part = read.select(F.lit(kind).alias("kind"), F.col(record).alias("record_id"), F.lit(len(whole.columns)).alias("n_columns"),
+                           F.lit(len(read.columns)).alias("n_read"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query
 def daily_audit(spark, sf):
     """Q5: chat and speech audits of the day, unioned and integrated."""

@@ -58,6 +58,25 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str] =
                 fs.delete(folder.getPath(), True)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, day: str = "v_date") -> None:
+    """``df`` as table ``name`` under ``path``: a folder per day, its rows in ``buckets`` by ``key``, sorted by it.
+
+    Tables written with the same number of buckets join on their keys without a shuffle. A rerun of a day
+    replaces it. ``path`` must be shared; the session's catalog holds the table's name.
+    """
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    dealt = df.repartition(buckets, F.col(key))
+    if not spark.catalog.tableExists(name):
+        dealt.write.partitionBy(day).bucketBy(buckets, key).sortBy(key).format("parquet").option("path", path).saveAsTable(name)
+        return
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")  # a table's writer reads it from the session alone
+    try:
+        dealt.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
                mode: str = "append", batch_size: int = 10_000) -> None:
     """Batched JDBC insert (the reference's target is a database table)."""

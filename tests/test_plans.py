@@ -79,3 +79,34 @@ def test_only_hot_orders_are_repeated(spark):
     even = calls.where("order_no <> 'hot'")
     assert flow.hot_orders(even) == [] and flow.hot_orders(calls.where("false")) == []
     assert "Generate explode" not in flow.scan_calls(even, orders)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bucketed_day_joins_without_a_shuffle(spark):
+    """Neither side of the serving join is exchanged, also where a broadcast is ruled out; a rerun replaces its day."""
+    from pyspark.sql import functions as F
+
+    from convaudit.plans import audit
+    from convaudit.sources.sinks import write_bucketed
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    results = spark.range(400).select(F.concat(F.lit("r"), F.col("id") % 300).alias("record_id"), (F.col("id") * 0.5).alias("score"),
+                                      F.when(F.col("id") % 2 == 0, "2024-01-15").otherwise("2024-01-16").alias("v_date"))
+    calls = spark.range(900).select(F.concat(F.lit("r"), F.col("id") % 450).alias("task_no"), F.col("id").cast("string").alias("order_no"),
+                                    F.lit(1).alias("source"), F.lit("2024-01-15").alias("v_date"))
+    name = f"t{id(results)}"
+    write_bucketed(results, f"r_{name}", f"{base}/r-{name}", "record_id", 4)
+    write_bucketed(calls, f"c_{name}", f"{base}/c-{name}", "task_no", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = audit.integrate_day(spark.table(f"r_{name}"), spark.table(f"c_{name}"), "2024-01-15")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        plain = audit.integrate(results.where("v_date = '2024-01-15'"), calls)
+        cols = sorted(out.columns)
+        assert sorted(map(tuple, out.select(cols).collect())) == sorted(map(tuple, plain.select(cols).collect()))
+        write_bucketed(results.where("v_date = '2024-01-15' and score > 100"), f"r_{name}", f"{base}/r-{name}", "record_id", 4)
+        spark.catalog.refreshTable(f"r_{name}")
+        left = spark.table(f"r_{name}")
+        assert left.where("v_date = '2024-01-16'").count() == 200 and left.where("v_date = '2024-01-15'").count() == 99
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
