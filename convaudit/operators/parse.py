@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from convaudit import schemas
 from convaudit.config import CHAT_MESSAGE_KEYS, SOURCE_CHAT, SOURCE_SPEECH, SPEECH_MIN_WORDS
@@ -25,11 +26,23 @@ def with_payload_hash(df: DataFrame, payload: str) -> DataFrame:
     return df.withColumns({"payload_h1": F.xxhash64(payload), "payload_h2": F.xxhash64(F.lit("record"), payload)})
 
 
+def whole_json(text: Column, schema: T.DataType) -> Column:
+    """``from_json`` of a text that is one JSON value and nothing else; null otherwise.
+
+    Spark's parser stops at the end of the first value, so junk behind it goes unseen. Here the text is the first
+    entry of an object, the second is named by the text's hash: whatever follows the text's value breaks the object,
+    adds an entry or hides the second. Quotes are double, as JSON has them. Still one parse a record.
+    """
+    mark = F.xxhash64(text).cast("string")
+    p = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":null}')), T.MapType(T.StringType(), schema), {"allowSingleQuotes": "false"})
+    return F.when(F.map_keys(p) == F.array(F.lit("v"), mark), F.get(F.map_values(p), 0))
+
+
 # -- chat ------------------------------------------------------------------
 
 def parse_chat(chat: DataFrame) -> DataFrame:
     """Add ``msgs``: the message array, null when the JSON is not an array of objects."""
-    return chat.withColumn("msgs", F.from_json("chat_records", schemas.CHAT_JSON))
+    return chat.withColumn("msgs", whole_json(F.col("chat_records"), schemas.CHAT_JSON))
 
 
 def n_keys(m: Column) -> Column:
@@ -99,7 +112,7 @@ def chat_sentences(chat: DataFrame, canned: DataFrame | None = None,
 # -- speech ----------------------------------------------------------------
 
 def parse_speech(speech: DataFrame) -> DataFrame:
-    return speech.withColumn("payload", F.from_json("result", schemas.SPEECH_JSON))
+    return speech.withColumn("payload", whole_json(F.col("result"), schemas.SPEECH_JSON))
 
 
 def speech_sentences(speech: DataFrame) -> DataFrame:
@@ -126,8 +139,8 @@ def call_texts(result: Column, source: Column) -> Column:
     Source 1 (chat) is an array of ``{digest}`` objects, source 2 (speech) an
     object with ``sentenceListData`` of ``{text}``; any other source has none.
     """
-    digests = F.transform(F.from_json(result, schemas.DIGEST_JSON), lambda x: x["digest"])
-    texts = F.transform(F.from_json(result, schemas.TEXT_JSON)["sentenceListData"], lambda x: x["text"])
+    digests = F.transform(whole_json(result, schemas.DIGEST_JSON), lambda x: x["digest"])
+    texts = F.transform(whole_json(result, schemas.TEXT_JSON)["sentenceListData"], lambda x: x["text"])
     return F.when(source == SOURCE_CHAT, digests).when(source == SOURCE_SPEECH, texts)
 
 
@@ -140,7 +153,10 @@ def flow_sentences(calls: DataFrame, keys: tuple[str, ...] = ("v_date", "source"
 # -- quarantine ----------------------------------------------------------------
 
 def _reason(text: Column) -> Column:
-    return F.when(F.try_parse_json(text).isNull(), F.lit("bad_json")).otherwise(F.lit("bad_shape"))
+    mark = F.xxhash64(text)
+    v = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))  # as whole_json
+    alone = F.coalesce(F.try_variant_get(v, "$[1]", "long") == mark, F.lit(False))
+    return F.when(alone, F.lit("bad_shape")).otherwise(F.lit("bad_json"))
 
 
 def _lacks(array: Column, field_of) -> Column:
@@ -152,7 +168,7 @@ def quarantine(chat: DataFrame | None = None, speech: DataFrame | None = None,
                calls: DataFrame | None = None, message_keys: int = CHAT_MESSAGE_KEYS) -> DataFrame:
     """Records whose payload can't be used in full, with the reason.
 
-    ``bad_json``: the text is not valid JSON; ``bad_shape``: valid JSON of
+    ``bad_json``: the text is not valid JSON, or more than one value; ``bad_shape``: valid JSON of
     another shape (e.g. a speech object without ``sentenceListData``);
     ``missing_field``: a full-width chat message without ``userId`` or ``digest``, or
     a speech sentence without ``wordList``; ``null_emotion``: a speech record

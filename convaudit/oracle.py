@@ -39,7 +39,8 @@ def _extras(rows: str, id_col: str, payload: str, field: str | None = None, null
     """``rows`` (with conv_id) and the unusable copies that ``fixtures._extras`` adds."""
     parts = [f"SELECT * FROM ({rows})",
              f"SELECT * REPLACE ('cut-' || {id_col} AS {id_col}, substring({payload}, 1, length({payload}) // 2) AS {payload}) "
-             f"FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 0"]
+             f"FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 0",
+             f"SELECT * REPLACE ('jnk-' || {id_col} AS {id_col}, {payload} || ' []' AS {payload}) FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 3"]
     if null_col:
         parts.append(f"SELECT * REPLACE ('nul-' || {id_col} AS {id_col}, NULL AS {null_col}) FROM ({rows}) WHERE conv_id % {fx.EXTRA_MOD} = 1")
     if field:

@@ -150,7 +150,7 @@ def _chat_pick_inline(chat: DataFrame, inputs: InRow, cfg: AuditConfig) -> DataF
     bests are separate projections, so each is evaluated once per row even
     though the choice refers to them several times.
     """
-    msgs = F.from_json(F.col("chat_records"), schemas.CHAT_JSON)
+    msgs = parse.whole_json(F.col("chat_records"), schemas.CHAT_JSON)
 
     def cand(m, i):
         return F.struct(parse.n_keys(m).alias("n_keys"), i.alias("pos"), parse.field(m, "digest").alias("text"),
@@ -231,7 +231,7 @@ def speech_scored(speech: DataFrame, lexicon: Lexicon, scorer: Scorer, cfg: Audi
 
 def _speech_best_inline(speech: DataFrame, inputs: InRow, cfg: AuditConfig) -> DataFrame:
     """``v_date, task_no, _b``: the best (score, -pos, text) of each speech record, computed inside its row."""
-    sents = F.from_json(F.col("result"), schemas.SPEECH_JSON)["sentenceListData"]
+    sents = parse.whole_json(F.col("result"), schemas.SPEECH_JSON)["sentenceListData"]
 
     def cand(s, i):
         return F.struct(i.alias("pos"), s["wordList"].alias("words"),

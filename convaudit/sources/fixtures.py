@@ -75,7 +75,7 @@ def _day(conv_id):
 
 
 def _extras(rows: DataFrame, id_col: str, payload: str, field: str | None = None, null_col: str | None = None) -> DataFrame:
-    """``rows`` and unusable copies of some: cut JSON, ``field`` renamed away, ``null_col`` null.
+    """``rows`` and unusable copies of some: cut JSON, text behind the JSON, ``field`` renamed away, ``null_col`` null.
 
     ``conv_id`` names the source conversation and is dropped.
     """
@@ -83,6 +83,7 @@ def _extras(rows: DataFrame, id_col: str, payload: str, field: str | None = None
     named = lambda prefix: F.concat(F.lit(prefix), F.col(id_col))
     out = rows.unionByName(rows.where(kind == 0).withColumns(
         {id_col: named("cut-"), payload: F.expr(f"substring({payload}, 1, length({payload}) div 2)")}))
+    out = out.unionByName(rows.where(kind == 3).withColumns({id_col: named("jnk-"), payload: F.concat(F.col(payload), F.lit(" []"))}))
     if null_col:
         null = F.lit(None).cast(rows.schema[null_col].dataType)
         out = out.unionByName(rows.where(kind == 1).withColumns({id_col: named("nul-"), null_col: null}))

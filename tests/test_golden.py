@@ -115,6 +115,22 @@ def test_quarantine_reasons(spark):
                  ("speech", "t2"): "bad_shape", ("speech", "t3"): "bad_json"}
 
 
+def test_text_behind_the_json_is_refused(spark):
+    """A payload is one JSON value: whatever follows it, the record is quarantined and not audited."""
+    whole = json.dumps([msg("u", "bad good")])
+    junk = [" x", "[]", "]", "}", "},", ",1", ',"z":[]', ',"v":[]', ',"z":[]}', '],"z":[[]', "null", "\\", '"']
+    bad = [*(whole + j for j in junk), whole.replace('"', "'"), "x" + whole, whole[:-1]]
+    good = [whole, f"  {whole}\n", json.dumps([msg("u", "bad ] } ,\" good")]), whole.replace('"digest"', '"digest": "first", "digest"')]
+    chats = chat_df(spark, [(f"{kind}{i}", t, "u", "a") for kind, ts in (("bad", bad), ("good", good)) for i, t in enumerate(ts)])
+    assert {r.record_id: r.reason for r in parse.quarantine(chats).collect()} == {f"bad{i}": "bad_json" for i in range(len(bad))}
+    assert set(result(audit.chat_audit(chats, LEX, SCORER, cfg()))) == {f"good{i}" for i in range(len(good))}
+    d = dt.date(2024, 1, 15)
+    speech = json.dumps({"sentenceListData": [{"text": "a", "wordList": ["a"]}]})
+    rows = spark.createDataFrame([(f"t{i}", "o", 0.1, speech + j, d) for i, j in enumerate(["", *junk])],
+                                 "task_no string, order_no string, score_qingxu double, result string, v_date date")
+    assert {r.record_id for r in parse.quarantine(speech=rows).collect()} == {f"t{i + 1}" for i in range(len(junk))}
+
+
 def test_speech_min_words_blend_and_joined_text(spark):
     payload = {"sentenceListData": [
         {"text": "x", "wordList": ["bad", "bad", "bad", "bad"]},              # 4 words: skipped
