@@ -42,6 +42,23 @@ def test_inline_and_join_paths_agree(spark):
     assert tok == {0, 4}
 
 
+def test_join_path_over_many_groups_equals_substring_search(spark, monkeypatch):
+    rng = __import__("random").Random(3)
+    word = lambda a, b: "".join(rng.choice("abé😀") for _ in range(rng.randrange(a, b)))
+    words = [word(3, 14) for _ in range(60)] + ["ab", None, "abababab" + "b" * 9]
+    rows = [(i, [word(0, 6) for _ in range(rng.randrange(6))]) for i in range(400)] + [(None, None), (7, ["abababa", "bbbbbbbbbb"])] * 2
+    df = spark.createDataFrame(rows, "id int, tokens array<string>").repartition(3)
+    lex = spark.createDataFrame([(w,) for w in words], "entry string")
+    monkeypatch.setattr(lexops, "GROUP_CHARS", 200)
+    for most in (1 << 28, 64):  # a bitmap that tells prefixes apart, one that hardly does
+        monkeypatch.setattr(lexops, "MOST_BITS", most)
+        for skip in (None, "ab"):
+            kept = [w for w in words if w and w != skip]
+            got = sorted((r.id, tuple(r.tokens)) for r in lexops.semi_join_lexicon(df, lex.where(F.col("entry") != (skip or "")), "substring").collect())
+            assert got == sorted((i, tuple(t)) for i, t in rows if t and any(w in "".join(t) for w in kept))
+    assert lexops.semi_join_lexicon(df, lex.where("false"), "substring").count() == 0
+
+
 def test_lines_like_a_text_file_reader(spark):
     df = spark.createDataFrame([("a\r\nb\rc\n\nd\n",), ("x",), ("\n",), (" sp \n",)], "text string")
     got = [r.l for r in df.select(lexops.lines_of("text").alias("l")).collect()]
