@@ -14,6 +14,7 @@ from convaudit.functions import automaton
 from convaudit.functions.automaton import Automaton, shards
 from convaudit.operators.score import RatioScorer
 from convaudit.plans import audit
+from convaudit import registry
 from convaudit.registry import QUERIES
 from convaudit.sources import fixtures as fx
 
@@ -97,3 +98,9 @@ def test_speech_audit_by_automaton_equals_the_others(spark):
 def test_query_has_no_explode_of_texts(spark):
     plan = QUERIES["sensitive_automaton"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in plan and "sequence" not in plan
+
+
+def test_query_over_a_lexicon_beyond_the_bound(spark, monkeypatch):
+    plain = sorted(map(tuple, QUERIES["sensitive_automaton"](spark, SF001).collect()))
+    monkeypatch.setattr(registry, "AuditConfig", lambda **kw: AuditConfig(**{**kw, "max_automaton_chars": 1000}))
+    assert plain and sorted(map(tuple, QUERIES["sensitive_automaton"](spark, SF001).collect())) == plain
