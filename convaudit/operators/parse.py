@@ -35,7 +35,8 @@ def whole_json(text: Column, schema: T.DataType) -> Column:
     """
     mark = F.xxhash64(text).cast("string")
     p = F.from_json(F.concat(F.lit('{"v":'), text, F.lit(',"'), mark, F.lit('":null}')), T.MapType(T.StringType(), schema), {"allowSingleQuotes": "false"})
-    return F.when(F.map_keys(p) == F.array(F.lit("v"), mark), F.get(F.map_values(p), 0))
+    # the parsed object is the element of a one-entry array, so that it is named once
+    return F.get(F.transform(F.array(p), lambda m: F.when(F.map_keys(m) == F.array(F.lit("v"), mark), F.get(F.map_values(m), 0))), 0)
 
 
 # -- chat ------------------------------------------------------------------
